@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SALTS = 64
+MAX_SALTS = 64
 
 
 def plan_bytes(df: DataFrame) -> int:
     """Size estimate of a plan, as the optimiser sees it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except ValueError:
+        # estimates multiply along long plans, to numbers with thousands of digits
+        return 1 << 62
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of one row of plain numbers in a broadcast table, with room for its overhead."""
+    return 32 + 16 * len(df.columns)
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -24,17 +33,22 @@ def broadcast_limit(df: DataFrame) -> int:
 
 def lookup_join(
     big: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-    salts: int = SALTS, limit: int | None = None,
+    salts: int | None = None, limit: int | None = None, rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with a table that is unique in ``on``.
 
-    The table is broadcast when its estimated size is below the limit. Beyond it each
-    key is spread over ``salts`` tasks and the table is repeated once per salt, so one
-    key with a large share of the rows does not end in one task.
+    The table is broadcast when its size is below the limit. Its size is ``rows`` times the
+    width of a row of numbers if the caller has counted it, else the optimiser's estimate. Beyond it each key is
+    spread over ``salts`` tasks and the table is repeated once per salt, so one key with
+    a large share of the rows does not end in one task.
     """
     limit = broadcast_limit(big) if limit is None else limit
-    if plan_bytes(lookup) <= limit:
+    size = plan_bytes(lookup) if rows is None else rows * row_bytes(lookup)
+    if size <= limit:
         return big.join(F.broadcast(lookup), on, how)
+    if salts is None:
+        cores = big.sparkSession.sparkContext.defaultParallelism
+        salts = max(2, min(MAX_SALTS, cores // 2))
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(big)), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
