@@ -21,7 +21,7 @@ EXCEPTION_RULES = [
     (r"\x{1F680}\s+", "🚀_"),
     (r"\x{1F48E}\x{1F64C}\s+", "💎🙌_"),
 ]
-EXCEPTION_TOKEN_RE = r"\S+_\S*|" + TOKEN_RE
+EXCEPTION_TOKEN_RE = r"\S+_[0-9A-Za-z]*|" + TOKEN_RE
 # Starting only at a word start or where the last match ended keeps a very long word
 # linear: without the anchor each of its characters would start a new attempt.
 _SPLIT_RE = r"(?:\G|(?<!\w))(\w+)(" + "|".join(CONTRACTIONS) + ")"
@@ -114,13 +114,15 @@ def tagged_sentence(sentence, lexicon, suffix_rules) -> Column:
     return F.array_join(parts, "")
 
 
-# Tag sequences that make a phrase, in the order they are tried.
-# Repeats of one tag are possessive, so long sentences are matched without recursion.
+# Tag sequences that make a phrase, in the order they are tried. Matches start at a token,
+# and repeats are possessive, so long sentences are matched without backtracking.
+_TOKEN = "(?:/|[^ /]++)"
+_START = "(?<![^ ])"
 PHRASE_PATTERNS = [
-    r"(?:[^ ]+/JJ )++[^ ]+/NN ",
-    r"(?:[^ ]+/NN ){2,}+",
-    r"(?:[^ ]+/MD )++(?:[^ ]+/RB )*+[^ ]+/VB ",
-    r"(?:[^ ]+/VBP )*+(?:[^ ]+/RB )*+(?:[^ ]+/VB )++[^ ]+/NN ",
+    f"{_START}(?:{_TOKEN}/JJ )++{_TOKEN}/NN ",
+    f"{_START}(?:{_TOKEN}/NN ){{2,}}+",
+    f"{_START}(?:{_TOKEN}/MD )++(?:{_TOKEN}/RB )*+{_TOKEN}/VB ",
+    f"{_START}(?:{_TOKEN}/VBP )*+(?:{_TOKEN}/RB )*+(?:{_TOKEN}/VB )++{_TOKEN}/NN ",
 ]
 
 

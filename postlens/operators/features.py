@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from postlens.operators.joins import lookup_join
+from postlens.session import cut
 
 BUCKETS = 64
 
@@ -17,13 +18,16 @@ def term_frequency(rows: DataFrame, term: str) -> DataFrame:
 def tfidf(frequency: DataFrame, n_docs) -> DataFrame:
     """Add ``weight`` = tf * ln((N + 1) / (df + 1)).
 
-    A common term is in almost every document, so the join is guarded against one key
-    with a large share of the rows.
+    The counts are used twice, for the weights and for the document frequencies, so they
+    are cut from the costly text work before them. A common term is in almost every
+    document, so the join is guarded against one key with a large share of the rows.
     """
+    frequency = cut(frequency)
     idf = frequency.groupBy("term").agg(F.count("*").alias("_df")).select(
         "term", F.ln((n_docs + 1) / (F.col("_df") + 1)).alias("_idf")
     )
-    joined = lookup_join(frequency, idf, ["term"], "inner")
+    idf = cut(idf)
+    joined = lookup_join(frequency, idf, ["term"], "inner", rows=idf.count())
     return joined.select("id", "term", "tf", (F.col("tf") * F.col("_idf")).alias("weight"))
 
 

@@ -17,8 +17,10 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def row_bytes(df: DataFrame) -> int:
-    """Bytes of one row of plain numbers in a broadcast table, with room for its overhead."""
-    return 32 + 16 * len(df.columns)
+    """Bytes of one row in a broadcast table, with room for its overhead. For strings this
+    is a word, not a text: tables of texts or arrays are not counted by rows."""
+    names = [f.dataType.typeName() for f in df.schema.fields]
+    return 32 + sum(64 if n == "string" else 16 for n in names)
 
 
 def broadcast_limit(df: DataFrame) -> int:

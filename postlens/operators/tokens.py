@@ -53,6 +53,15 @@ def rows_of(df: DataFrame, array, keep: list[str], pos: str, value: str) -> Data
     )
 
 
+def fenced(df: DataFrame) -> DataFrame:
+    """The same rows, with columns that a later filter is not moved below.
+
+    The optimiser moves a filter on a computed column down and copies the computation
+    into it; for the costly columns here that doubles the work.
+    """
+    return df.select(F.inline_outer(F.array(F.struct(*df.columns))))
+
+
 def word_rows(df: DataFrame, text: str = "text") -> DataFrame:
     return rows_of(df, tk.words(F.col(text)), ["id"], "pos", "word")
 
@@ -157,8 +166,12 @@ def _phrases(df: DataFrame, cfg: TopicConfig, text: str) -> DataFrame:
 
 
 def _feature(phrase, cfg: TopicConfig):
-    """One phrase as a feature: tokens lemmatised and cleaned, joined by underscores."""
-    return F.array_join(tk.clean_tokens(tk.lemmas(tk.tokens(phrase), cfg.lemmas), cfg.token_pattern), "_")
+    """One phrase as a feature: tokens lemmatised and cleaned, joined by underscores.
+
+    A phrase is made of finished tokens with one space between them, so tokenising it
+    again comes down to splitting at the spaces.
+    """
+    return F.array_join(tk.clean_tokens(tk.lemmas(F.split(phrase, " "), cfg.lemmas), cfg.token_pattern), "_")
 
 
 def phrase_features(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:
@@ -180,7 +193,7 @@ def topic_features(df: DataFrame, cfg: TopicConfig, drop_empty: bool = False) ->
         tx.keep_list_for_topics(tx.clean_for_topics("text")).alias("normalised"),
     )
     out = phrase_features(prepared, cfg, "normalised").select("id", "ngrams", "emojis")
-    return out.where(F.size("ngrams") > 0) if drop_empty else out
+    return fenced(out).where(F.size("ngrams") > 0) if drop_empty else out
 
 
 def sentiment_rows(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:

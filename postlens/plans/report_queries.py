@@ -11,6 +11,7 @@ from postlens.plans import sql_views as v
 from postlens.plans.registry import query
 from postlens.plans.text_queries import _chunks, _sentences
 from postlens.plans.token_queries import CFG, SENTIMENT
+from postlens.session import cut
 from postlens.sources import readers, views
 
 # -- posts -------------------------------------------------------------------------------
@@ -198,7 +199,7 @@ def _clustered(chunks):
 @query("attach_cluster_text", f"""WITH {v.CHUNKS}, {_CLUSTERED} SELECT post_id, chunk_num, cluster, long_sent
 FROM clustered JOIN chunks USING (post_id, chunk_num)""")
 def attach_cluster_text(spark, folder):
-    chunks = _chunks(spark, folder)
+    chunks = cut(_chunks(spark, folder))
     return _clustered(chunks).join(chunks, ["post_id", "chunk_num"])
 
 
@@ -218,14 +219,14 @@ def assemble_result(spark, folder):
 SELECT post_id, chunk_num, 1 AS n FROM chunks UNION ALL SELECT post_id, chunk_num, -1 FROM clustered)
 SELECT post_id, chunk_num, CAST(sum(n) AS BIGINT) AS surplus FROM u GROUP BY 1, 2 HAVING sum(n) <> 0""")
 def reconcile_keys(spark, folder):
-    chunks = _chunks(spark, folder)
+    chunks = cut(_chunks(spark, folder))
     return stats.key_differences(chunks, _clustered(chunks), ["post_id", "chunk_num"])
 
 
 @query("reconcile_counts", f"""WITH {v.CHUNKS}, {_CLUSTERED}, c AS (SELECT (SELECT count(*) FROM chunks) AS n_left,
 (SELECT count(*) FROM clustered) AS n_right) SELECT n_left, n_right, n_left = n_right AS equal FROM c""")
 def reconcile_counts(spark, folder):
-    chunks = _chunks(spark, folder)
+    chunks = cut(_chunks(spark, folder))
     return stats.compare_counts(chunks, _clustered(chunks))
 
 

@@ -85,7 +85,7 @@ def tokenize_contractions(spark, folder):
 _PROTECTED = v.replace(v.replace(v.replace(v.replace(
     "text", "(\\S+) (sell|hold)([^0-9A-Za-z_]|$)", "\\1_\\2\\3"),
     "game (stop|stonk)", "game_\\1"), "\\x{1F680}\\s+", "🚀_"), "\\x{1F48E}\\x{1F64C}\\s+", "💎🙌_")
-_EXCEPTION_SHAPES = r"\S+_\S*|" + v.TOKEN_SHAPES
+_EXCEPTION_SHAPES = r"\S+_[0-9A-Za-z]*|" + v.TOKEN_SHAPES
 
 
 @query("token_exceptions", f"""WITH {v.TEXTS}, a AS (

@@ -51,7 +51,7 @@ def _frequency(texts):
 
 
 def _weights(texts):
-    return features.tfidf(_frequency(texts), texts.agg(F.count("*")).scalar())
+    return features.tfidf(_frequency(texts), texts.select("id").agg(F.count("*")).scalar())
 
 
 @query("term_frequency", f"WITH {_TERMS} SELECT id, term, tf FROM tf")
