@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from postlens.functions import text as tx
+from postlens.operators.ordering import with_position
 from postlens.operators.tokens import rows_of
 
 
@@ -72,11 +73,12 @@ def sequence_delta(found: DataFrame) -> DataFrame:
     """Sequences of several codes in order, each shown by what differs from the one before.
 
     Only sequences with as many codes as the previous row are compared; equal codes
-    become empty. The order runs over distinct emoji sequences.
+    become empty.
     """
-    several = found.where("n_codes > 1").withColumn("code_text", F.array_join("codes", " "))
-    before = F.lag("codes").over(Window.orderBy("code_text"))
-    rows = several.withColumn("before", before)
+    several = found.where("n_codes > 1").select("codes", F.array_join("codes", " ").alias("code_text"))
+    ordered = with_position(several, ["code_text"])
+    before = ordered.select((F.col("position") + 1).alias("position"), F.col("codes").alias("before"))
+    rows = ordered.join(before, "position", "left")
     changed = F.zip_with("codes", "before", lambda a, b: F.when(a == b, F.lit("")).otherwise(a))
     same_size = F.size("codes") == F.size(F.coalesce("before", F.array()))
     return rows.select(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from postlens.session import cut
 
 
 def bucket(ts: Column, width: str) -> Column:
@@ -11,7 +13,8 @@ def bucket(ts: Column, width: str) -> Column:
 
 def resample(df: DataFrame, ts: str, value: Column, width: str = "3 hours", out: str = "n") -> DataFrame:
     """Aggregate per time bucket; buckets without rows are present with 0."""
-    filled = df.groupBy(bucket(F.col(ts), width).alias("bucket")).agg(value.cast("bigint").alias(out))
+    counted = df.groupBy(bucket(F.col(ts), width).alias("bucket")).agg(value.cast("bigint").alias(out))
+    filled = cut(counted)  # one row per bucket, read twice
     span = filled.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
     grid = span.select(F.explode(F.expr(f"sequence(lo, hi, interval {width})")).alias("bucket"))
     return grid.join(filled, "bucket", "left").select("bucket", F.coalesce(out, F.lit(0)).alias(out))
@@ -36,7 +39,6 @@ def sparse_bins(binned: DataFrame, bins: int, below: int = 100) -> DataFrame:
 def shares(df: DataFrame, ts: str, label: str, width: str = "1 day") -> DataFrame:
     """Rows per (bucket, label) and their share of the bucket."""
     counts = df.groupBy(bucket(F.col(ts), width).alias("bucket"), label).agg(F.count("*").alias("n"))
-    totals = counts.groupBy("bucket").agg(F.sum("n").alias("total"))
-    return counts.join(totals, "bucket").select(
-        "bucket", label, "n", F.round(F.col("n") / F.col("total"), 6).alias("share")
-    )
+    # the window runs over the counts, one row per label and bucket
+    total = F.sum("n").over(Window.partitionBy("bucket"))
+    return counts.select("bucket", label, "n", F.round(F.col("n") / total, 6).alias("share"))

@@ -70,6 +70,15 @@ def token_rows(df: DataFrame, text: str = "text") -> DataFrame:
     return rows_of(df, tk.tokens(F.col(text)), ["id"], "pos", "token")
 
 
+def clean_token_rows(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:
+    """(id, pos, token): tokens cleaned and in lower case; those left empty are dropped."""
+    def one(t, i):
+        return F.struct(i.alias("pos"), F.lower(F.regexp_replace(t, cfg.token_pattern, "")).alias("token"))
+    kept = F.filter(F.transform(tk.tokens(F.col(text)), one), lambda e: e["token"] != "")
+    rows = df.select("id", F.explode_outer(kept).alias("e")).where("e IS NOT NULL")
+    return rows.select("id", "e.pos", "e.token")
+
+
 def sentence_rows(df: DataFrame, text: str = "text", min_len: int = 3) -> DataFrame:
     return rows_of(df, tk.sentences(F.col(text), min_len), ["id"], "sent_num", "sentence")
 
@@ -99,14 +108,14 @@ def remove_stop_words(rows: DataFrame, stop: DataFrame, token: str = "token") ->
     """Drop token rows whose lower-case form is in the ``word`` column of ``stop``."""
     keyed = rows.withColumn("_key", F.lower(token))
     words = stop.select(F.lower("word").alias("_key")).distinct()
-    return lookup_join(keyed, words, ["_key"], "left_anti").drop("_key")
+    return lookup_join(keyed, words, ["_key"], "left_anti", rows=words.count()).drop("_key")
 
 
 def lemmatise(rows: DataFrame, dictionary: DataFrame, token: str = "token") -> DataFrame:
     """Add ``lemma``: the dictionary's entry for the lower-case form, else the token."""
     keyed = rows.withColumn("_key", F.lower(token))
     forms = dictionary.groupBy(F.lower("form").alias("_key")).agg(F.min("lemma").alias("_lemma"))
-    joined = lookup_join(keyed, forms, ["_key"], "left")
+    joined = lookup_join(keyed, forms, ["_key"], "left", rows=forms.count())
     return joined.withColumn("lemma", F.coalesce("_lemma", token)).drop("_key", "_lemma")
 
 

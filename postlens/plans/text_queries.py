@@ -197,9 +197,7 @@ text_query("wrap_text", tx.wrap,
 @query("token_cleanup", f"""WITH {v.TOKENS} SELECT id, pos, lower(regexp_replace(token, '[^0-9A-Za-z$&%=]', '', 'g')) AS token
 FROM tokens WHERE regexp_replace(token, '[^0-9A-Za-z$&%=]', '', 'g') <> ''""")
 def token_cleanup(spark, folder):
-    rows = tok.token_rows(views.texts(spark, folder))
-    kept = F.lower(F.regexp_replace("token", tx.TOKEN_KEEP_RE, ""))
-    return rows.select("id", "pos", kept.alias("token")).where("token <> ''")
+    return tok.clean_token_rows(views.texts(spark, folder), tok.TopicConfig())
 
 
 @query("char_diff", f"""WITH {v.TEXTS}, c AS (
