@@ -34,9 +34,14 @@ def words(text) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
-def tokens(text, pattern: str = TOKEN_RE) -> Column:
+def split_contractions(text) -> Column:
+    """Put a space before each contraction ending; texts without an apostrophe stay as they are."""
     split = F.regexp_replace(text, _SPLIT_RE, "$1 $2")
-    return F.regexp_extract_all(split, F.lit(pattern), F.lit(0))
+    return F.when(F.contains(text, F.lit("'")), split).otherwise(text)
+
+
+def tokens(text, pattern: str = TOKEN_RE) -> Column:
+    return F.regexp_extract_all(split_contractions(text), F.lit(pattern), F.lit(0))
 
 
 def protect_exceptions(text) -> Column:
@@ -45,8 +50,7 @@ def protect_exceptions(text) -> Column:
 
 
 def exception_tokens(text) -> Column:
-    protected = protect_exceptions(text)
-    split = F.regexp_replace(protected, _SPLIT_RE, "$1 $2")
+    split = F.regexp_replace(protect_exceptions(text), _SPLIT_RE, "$1 $2")
     return F.regexp_extract_all(split, F.lit(EXCEPTION_TOKEN_RE), F.lit(0))
 
 
@@ -114,21 +118,26 @@ def tagged_sentence(sentence, lexicon, suffix_rules) -> Column:
     return F.array_join(parts, "")
 
 
-# Tag sequences that make a phrase, in the order they are tried. Matches start at a token,
-# and repeats are possessive, so long sentences are matched without backtracking.
+# Tag sequences that make a phrase, in the order they are tried, each with a tag it cannot
+# do without. Matches start at a token, and repeats are possessive, so long sentences are
+# matched without backtracking.
 _TOKEN = "(?:/|[^ /]++)"
 _START = "(?<![^ ])"
 PHRASE_PATTERNS = [
-    f"{_START}(?:{_TOKEN}/JJ )++{_TOKEN}/NN ",
-    f"{_START}(?:{_TOKEN}/NN ){{2,}}+",
-    f"{_START}(?:{_TOKEN}/MD )++(?:{_TOKEN}/RB )*+{_TOKEN}/VB ",
-    f"{_START}(?:{_TOKEN}/VBP )*+(?:{_TOKEN}/RB )*+(?:{_TOKEN}/VB )++{_TOKEN}/NN ",
+    ("/JJ ", f"{_START}(?:{_TOKEN}/JJ )++{_TOKEN}/NN "),
+    ("/NN ", f"{_START}(?:{_TOKEN}/NN ){{2,}}+"),
+    ("/MD ", f"{_START}(?:{_TOKEN}/MD )++(?:{_TOKEN}/RB )*+{_TOKEN}/VB "),
+    ("/VB ", f"{_START}(?:{_TOKEN}/VBP )*+(?:{_TOKEN}/RB )*+(?:{_TOKEN}/VB )++{_TOKEN}/NN "),
 ]
 
 
 def phrases(tagged, patterns=PHRASE_PATTERNS) -> Column:
     """Phrases of a tagged sentence, pattern after pattern, without their tags."""
-    found = F.concat(*[F.regexp_extract_all(tagged, F.lit(p), F.lit(0)) for p in patterns])
+    none = F.array().cast("array<string>")
+    found = F.concat(*[
+        F.when(F.contains(tagged, F.lit(needed)), F.regexp_extract_all(tagged, F.lit(p), F.lit(0))).otherwise(none)
+        for needed, p in patterns
+    ])
     return F.transform(found, lambda m: F.trim(F.regexp_replace(m, "/[A-Z]+ ", " ")))
 
 

