@@ -44,16 +44,18 @@ def knn(df: DataFrame, k: int, block_rows: int | None = None) -> DataFrame:
     return _expand_copies(rows, distinct, best, k)
 
 
-def _wanted_cells(cells: blocks.Cells, k: int) -> np.ndarray:
+def _wanted_cells(cells: blocks.Cells, k: int, giving: np.ndarray | None = None) -> np.ndarray:
     """Which pairs of cells may hold neighbours of each other.
 
     A row of cell A has its k-th neighbour within the smallest reach that covers k + 1
     rows, where all of cell B is covered at |pivot A, pivot B| + radius A + radius B.
-    Cells whose rows must be farther away than that are left out.
+    Cells whose rows must be farther away than that are left out. ``giving`` counts the
+    rows of each cell that may be neighbours, if not all may.
     """
+    rows = cells.rows if giving is None else giving
     upper, lower = cells.upper(), cells.lower()
     order = np.argsort(upper, axis=1)
-    covered = np.cumsum(cells.rows[order], axis=1)
+    covered = np.cumsum(rows[order], axis=1)
     enough = (covered > k).argmax(axis=1)
     reach = np.take_along_axis(upper, order, axis=1)[np.arange(len(upper)), enough]
     reach[covered[:, -1] <= k] = np.inf
@@ -223,6 +225,10 @@ def neighbours_of_new(new: DataFrame, fitted: DataFrame, k: int, block_rows: int
     )
     rows, cells = blocks.split(marked, block_rows)
     packed = blocks.pack(rows, extra="is_new")
+    giving = np.zeros(len(cells.rows), "int64")
+    for r in rows.where("is_new = 0").groupBy("cell").agg(F.count("*").alias("n")).collect():
+        giving[r.cell] = r.n
+    wanted = _wanted_cells(cells, k, giving)
 
     def nearest(a, b, same):
         import pandas as pd
@@ -240,6 +246,6 @@ def neighbours_of_new(new: DataFrame, fitted: DataFrame, k: int, block_rows: int
         frames = [pd.DataFrame(f) for f in found]
         return pd.concat(frames) if frames else pd.DataFrame({"vec_id": [], "nbr": [], "dist": []})
 
-    candidates = blocks.map_pairs(packed, blocks.pairs(packed, cells), nearest, EDGE_SCHEMA)
+    candidates = blocks.map_pairs(packed, blocks.pairs(packed, cells, wanted), nearest, EDGE_SCHEMA)
     rank = F.row_number().over(Window.partitionBy("vec_id").orderBy("dist", "nbr"))
     return candidates.withColumn("rank", rank).where(F.col("rank") <= k).select("vec_id", "rank", "nbr", "dist")

@@ -152,6 +152,19 @@ def test_cells_rule_out_far_blocks(spark):
     assert blocks.pairs(packed, cells, neighbours._wanted_cells(cells, 2)).count() < every
 
 
+@pytest.mark.parametrize("block_rows", [None, 9])
+def test_neighbours_of_new_rows(spark, block_rows):
+    fitted = planted(spark, 50)
+    new = planted(spark, 20, seed=5).withColumn("vec_id", F.col("vec_id") + 1000)
+    ids, z = arrays(fitted)
+    new_ids, new_z = arrays(new)
+    want = {}
+    for i, row in zip(new_ids, new_z):
+        d = np.sqrt(((z - row) ** 2).sum(1))
+        want[int(i)] = [int(ids[j]) for j in np.lexsort((ids, d))[:4]]
+    assert lists(neighbours.neighbours_of_new(new, fitted, 4, block_rows)) == want
+
+
 def test_sigma_solves_its_equation(embeddings):
     rows = neighbours.bandwidths(neighbours.knn(embeddings, 8)).collect()
     for r in rows:
