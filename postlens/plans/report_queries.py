@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from postlens.functions import text as tx
@@ -11,8 +13,8 @@ from postlens.plans import sql_views as v
 from postlens.plans.registry import query
 from postlens.plans.text_queries import _chunks, _sentences
 from postlens.plans.token_queries import CFG, SENTIMENT
-from postlens.session import cut
-from postlens.sources import readers, views
+from postlens.session import cut, shared_dir
+from postlens.sources import readers, sinks, views
 
 # -- posts -------------------------------------------------------------------------------
 
@@ -260,6 +262,40 @@ def combined_view_sql(spark, folder):
     return spark.sql(f"SELECT post_id, chunk_num, LENGTH(long_sent) AS len FROM {name}")
 
 
+# -- stage outputs written and read back ---------------------------------------------------------
+
+def _new_path(spark, name):
+    return sinks.run_folder(shared_dir(spark), name, uuid.uuid4().hex)
+
+
+@query("saved_labels", f"WITH {_GRID} SELECT d, m, vec_id, cluster FROM grid WHERE d = 6 AND m = 28")
+def saved_labels(spark, folder):
+    """Labels of all parameter pairs in one table; reading one pair opens one folder."""
+    path = _new_path(spark, "labels")
+    sinks.write_params(_grid(spark, folder), path, ["d", "m"])
+    return readers.read_params(spark, path, d=6, m=28).select("d", "m", "vec_id", "cluster")
+
+
+@query("saved_sizes_json", f"WITH {_GRID} SELECT d, m, cluster, n FROM sizes")
+def saved_sizes_json(spark, folder):
+    path = _new_path(spark, "sizes")
+    sinks.write_scores(_grid_sizes(spark, folder), path)
+    return spark.read.schema("d long, m long, cluster long, n long").json(path)
+
+
+@query("saved_chunks_tsv", f"""WITH {v.CHUNKS}, {_CLUSTERED} SELECT post_id, chunk_num, cluster, long_sent
+FROM clustered JOIN chunks USING (post_id, chunk_num)""")
+def saved_chunks_tsv(spark, folder):
+    """Chunks go out as tab-separated text and labels as comma-separated; both are read back and joined."""
+    chunks = cut(_chunks(spark, folder))
+    chunk_path, label_path = _new_path(spark, "sentences"), _new_path(spark, "clustered")
+    sinks.write_csv(chunks, chunk_path, sep="\t")
+    sinks.write_csv(_clustered(chunks), label_path)
+    texts = readers.read_csv(spark, chunk_path, "post_id long, chunk_num long, long_sent string", sep="\t", glob="part*")
+    labels = readers.read_csv(spark, label_path, "post_id long, chunk_num long, cluster long", multiline=False, glob="part*")
+    return labels.join(texts, ["post_id", "chunk_num"])
+
+
 # -- time -------------------------------------------------------------------------------------
 
 def _shown(df):
