@@ -15,8 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from postlens.llm import words as W
-from postlens.llm.frames import without_rows
-from postlens.session import cut
+from postlens.llm.frames import without_rows, written
 
 WINDOW = 13
 SHORTEST = 5
@@ -191,7 +190,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         F.count_if("names").alias("n"),
         F.sum(F.xxhash64("names", "pos", "hash", "slots").cast("decimal(38,0)")).alias("print"))
     items = items.groupBy("print", "n").agg(F.min(F.struct("item_id", "row")).alias("item")).select("item.*", "n")
-    known = cut(found.join(items, ["item_id", "row"]).drop("row").withColumnsRenamed(
+    known = written(found.join(items, ["item_id", "row"]).drop("row").withColumnsRenamed(
         {"pos": "item_pos", "slots": "item_slots"}).drop("start", "end"))
     used = sorted(r["s"] for r in _sizes(known, benchmark, window).collect())
     hits = _windows(docs, "doc_id", used, _field(known))
@@ -226,5 +225,5 @@ def _sizes(known: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that ``matches`` finds; all columns are kept."""
-    gone = cut(matches(docs, benchmark, window).select("row").distinct())
+    gone = written(matches(docs, benchmark, window).select("row").distinct())
     return without_rows(docs, gone, gone.count())

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from postlens.operators.joins import broadcast_limit
+from postlens.session import shared_dir
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -24,3 +27,12 @@ def without_rows(df: DataFrame, gone: DataFrame, rows: int) -> DataFrame:
         gone = F.broadcast(gone)
     left = df.withColumn(name, F.xxhash64("doc_id", "text")).join(gone, name, "left_anti")
     return left.select(df.columns)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder. Unlike a checkpoint it is computed once, and the
+    optimiser sees its true size; sizes estimated along an iteration multiply without end."""
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

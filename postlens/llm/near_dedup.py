@@ -14,8 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from postlens.llm import words as W
-from postlens.llm.frames import fresh
-from postlens.session import cut
+from postlens.llm.frames import fresh, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -155,14 +154,14 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float, size: int = S
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node of each connected set, for the nodes in ``edges`` (a, b)."""
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp")))
+    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp")))
     while True:
         seen = both.join(labels.select(F.col("node").alias("b"), "comp"), "b")
         least = seen.groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = labels.join(least, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         roots = step.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
-        step = cut(step.join(roots, "comp").select("node", F.col("root").alias("comp"), "old"))
+        step = written(step.join(roots, "comp").select("node", F.col("root").alias("comp"), "old"))
         labels = step.select("node", "comp")
         if step.where("comp <> old").isEmpty():
             return labels
@@ -178,29 +177,29 @@ def _links(nodes: DataFrame, texts_of, similarity: float, size: int) -> DataFram
     """
     members = nodes.select("node", F.explode("keys").alias("key"))
     leaders = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    shared = cut(members.join(leaders.drop("n"), "key"))
+    shared = written(members.join(leaders.drop("n"), "key"))
     if shared.isEmpty():
         return None
-    texts = cut(texts_of(shared.select("node").distinct()))
-    tested = cut(shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    edges = cut(similar(tested, texts, similarity, size))
+    texts = written(texts_of(shared.select("node").distinct()))
+    tested = written(shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    edges = written(similar(tested, texts, similarity, size))
     left = shared.where("node <> leader").select("key", "node")
     while True:
         labels = components(edges)
         now = left.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
         mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        now = cut(now.join(mixed, "key"))
+        now = written(now.join(mixed, "key"))
         if now.isEmpty():
             return labels
         slot = F.pmod(F.xxhash64("node"), F.lit(SLOTS))
         chosen = now.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("node", "comp")).alias("lead"))
-        chosen = cut(chosen.select("key", F.col("lead.node").alias("leader"), F.col("lead.comp").alias("own")))
+        chosen = written(chosen.select("key", F.col("lead.node").alias("leader"), F.col("lead.comp").alias("own")))
         met = now.join(chosen, "key").where("comp <> own")
         ordered = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-        new = cut(ordered.join(tested, ["a", "b"], "left_anti"))
-        tested = cut(tested.union(new))
-        edges = cut(edges.union(similar(new, texts, similarity, size)))
-        left = cut(now.select("key", "node").join(
+        new = written(ordered.join(tested, ["a", "b"], "left_anti"))
+        tested = written(tested.union(new))
+        edges = written(edges.union(similar(new, texts, similarity, size)))
+        left = written(now.select("key", "node").join(
             chosen.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti"))
 
 
@@ -218,9 +217,9 @@ def classes(
     ordinary rows; a null doc_id is the smallest of all. An empty table gives an empty result. Other columns
     are not read.
     """
-    rows_of = cut(sketch(docs, bands, rows, size))
+    rows_of = written(sketch(docs, bands, rows, size))
     first = F.min(F.struct("doc_id", "row"))
-    nodes = cut(rows_of.groupBy("node").agg(first.alias("first"), F.first("keys").alias("keys")))
+    nodes = written(rows_of.groupBy("node").agg(first.alias("first"), F.first("keys").alias("keys")))
 
     def texts_of(wanted):
         picked = nodes.join(wanted, "node", "left_semi").select("node", F.col("first.row").alias("row"))
@@ -232,7 +231,7 @@ def classes(
         owner = nodes.select("node", "first")
     else:
         known = nodes.select("node", "first").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        known = cut(known)
+        known = written(known)
         least = known.groupBy("comp").agg(F.min("first").alias("least"))
         owner = known.join(least, "comp").select("node", F.col("least").alias("first"))
     return rows_of.select("doc_id", "row", "node").join(owner, "node").select(
@@ -242,7 +241,7 @@ def classes(
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class, that of its smallest doc_id; all columns are kept."""
     name = fresh(docs, "row")
-    winners = cut(classes(docs, similarity).where("row = class_row").groupBy("row").agg(F.count("*").alias("copies")))
+    winners = written(classes(docs, similarity).where("row = class_row").groupBy("row").agg(F.count("*").alias("copies")))
     keyed = docs.withColumn(name, F.xxhash64("doc_id", "text"))
 
     def of(rows):
