@@ -20,8 +20,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 6
-#: Leaders that a bucket may choose at once from the second round on.
-SLOTS = 8
+#: Growth of the number of leaders that a bucket chooses at once, from the third round on.
+MORE_LEADERS = 8
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0xD1B54A32D192ED03)
 _TURN = np.uint64(0x8CB92BA72F3D8DD7)
@@ -116,7 +116,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SH
     )
 
 
-def _comparer(size: int, similarity: float):
+def _comparer(size: int):
     def run(batches):
         reader = W.Reader(W.byte_classes())
 
@@ -139,17 +139,17 @@ def _comparer(size: int, similarity: float):
                 both = np.intersect1d(a, b)
                 common = np.bincount((both >> np.uint64(52)).astype(np.int64), minlength=hi - lo)
                 union = size_a + size_b - common
-                close = (union > 0) & (common >= similarity * union)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(lo, hi - lo).filter(pa.array(close)) for c in ("a", "b")], names=["a", "b"])
+                    [batch.column(c).slice(lo, hi - lo) for c in ("a", "b")] + [pa.array(common / np.maximum(union, 1))],
+                    names=["a", "b", "j"])
     return run
 
 
-def similar(pairs: DataFrame, texts: DataFrame, similarity: float, size: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b) of nodes whose weighted Jaccard similarity reaches ``similarity``."""
+def similar(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(a, b, j): the exact weighted Jaccard similarity of pairs of nodes."""
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(b, "b").join(a, "a").mapInArrow(_comparer(size, similarity), "a bigint, b bigint")
+    return pairs.join(b, "b").join(a, "a").mapInArrow(_comparer(size), "a bigint, b bigint, j double")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -167,13 +167,28 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _rings(rows: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
+    """(key, node): buckets (key, leader, node) split by the distance to the leader.
+
+    One minus the similarity is a metric, so two members whose distances to the leader differ
+    by more than 1 - similarity cannot be linked. A member goes to the group of its ring and to
+    that of the ring before, so any two that may be linked meet in one group.
+    """
+    ends = rows.withColumns({"a": F.least("leader", "node"), "b": F.greatest("leader", "node")})
+    ring = F.floor((1 - F.col("j")) / (1 - similarity + 1e-9))
+    groups = F.filter(F.array(ring, ring - 1), lambda g: g >= 0)
+    split = ends.where("leader <> node").join(tested, ["a", "b"]).select("key", "node", F.explode(groups).alias("g"))
+    return split.select(F.xxhash64("key", "g").alias("key"), "node").distinct()
+
+
 def _links(nodes: DataFrame, texts_of, similarity: float, size: int) -> DataFrame | None:
     """Component of every node that has a link; None if there is no shared bucket.
 
-    Round 1 compares all members of a bucket with its smallest node. Later rounds look only at
-    buckets that still hold several components: new leaders (one per hash slot) meet the members
-    of other components, and used leaders leave. It ends when every two members of a bucket were
-    compared or are connected, so a large group of copies costs rows in proportion to its size.
+    All members of a bucket are compared with one leader, and the bucket is split into rings
+    around it, twice. What still holds several components then chooses more and more leaders,
+    which meet the members of other components; used leaders leave. It ends when every two
+    members of a bucket were compared, are connected, or cannot be linked. A large group of
+    copies is one component after the first round, so its rows grow with its size only.
     """
     members = nodes.select("node", F.explode("keys").alias("key"))
     leaders = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
@@ -181,26 +196,34 @@ def _links(nodes: DataFrame, texts_of, similarity: float, size: int) -> DataFram
     if shared.isEmpty():
         return None
     texts = written(texts_of(shared.select("node").distinct()))
-    tested = written(shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    edges = written(similar(tested, texts, similarity, size))
-    left = shared.where("node <> leader").select("key", "node")
+
+    def ordered(rows):
+        return rows.where("leader <> node").select(
+            F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+
+    tested = written(similar(ordered(shared), texts, size))
+    left, leaders_each = written(_rings(shared, tested, similarity)), 1
     while True:
-        labels = components(edges)
+        labels = components(tested.where(F.col("j") >= similarity))
         now = left.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
         mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
         now = written(now.join(mixed, "key"))
         if now.isEmpty():
             return labels
-        slot = F.pmod(F.xxhash64("node"), F.lit(SLOTS))
+        slot = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
         chosen = now.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("node", "comp")).alias("lead"))
         chosen = written(chosen.select("key", F.col("lead.node").alias("leader"), F.col("lead.comp").alias("own")))
-        met = now.join(chosen, "key").where("comp <> own")
-        ordered = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-        new = written(ordered.join(tested, ["a", "b"], "left_anti"))
-        tested = written(tested.union(new))
-        edges = written(edges.union(similar(new, texts, similarity, size)))
-        left = written(now.select("key", "node").join(
-            chosen.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti"))
+        met = now.join(chosen, "key")
+        if leaders_each > 1:
+            met = met.where("comp <> own")
+        new = ordered(met).join(tested, ["a", "b"], "left_anti")
+        tested = written(tested.union(similar(new, texts, size)))
+        if leaders_each == 1:
+            left = written(_rings(met, tested, similarity))
+        else:
+            left = now.select("key", "node").join(
+                chosen.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
+        leaders_each *= MORE_LEADERS
 
 
 def classes(
