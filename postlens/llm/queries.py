@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, functions as F
 
-from postlens.llm import decontaminate, mixing, near_dedup, quality, token_files
+from postlens.llm import (
+    decontaminate, langid, lengths, licenses, mixing, near_dedup, quality, secrets, spotsigs, token_files,
+)
 from postlens.plans.registry import query
 from postlens.sources import readers
 
@@ -85,3 +87,42 @@ def op7_token_files(spark, folder):
 def op8_near_duplicates(spark, folder):
     """Class of each document under a weighted similarity of 0.8 of its runs of five words."""
     return near_dedup.classes(documents(spark, folder)).select("doc_id", "class_id")
+
+
+@query("op3_language")
+def op3_language(spark, folder):
+    """Language of every document by a field that has not seen the held-out fold."""
+    docs = documents(spark, folder)
+    field = langid.fit(docs.where(fold("doc_id", 5) != 0))
+    return langid.predict(docs, field).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark, folder):
+    """What every context limit keeps of the encoded documents."""
+    return lengths.limits(lengths.histogram(documents(spark, folder), VOCABULARY))
+
+
+@query("op6_licenses")
+def op6_licenses(spark, folder):
+    """License notices in documents, with coverage and place."""
+    return licenses.scan(documents(spark, folder))
+
+
+@query("op9_spot_signatures")
+def op9_spot_signatures(spark, folder):
+    """Fingerprints of texts and edited texts, and their likeness."""
+    return spotsigs.fingerprints(documents(spark, folder))
+
+
+@query("op10_secrets")
+def op10_secrets(spark, folder):
+    """Spans of secrets in every document, by patterns and by character models."""
+    found = secrets.scan(documents(spark, folder))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    every = F.array_sort(F.concat("base", "extra"))
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.digest(F.col("base")), 256).alias("base_sha256"), secrets.digest(every).alias("spans"),
+        F.size("extra").cast("bigint").alias("n_markov"))
