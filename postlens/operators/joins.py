@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_SALTS = 64
@@ -26,11 +28,8 @@ def row_bytes(df: DataFrame) -> int:
 def broadcast_limit(df: DataFrame) -> int:
     """The session's own broadcast bound in bytes; negative means never."""
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    units = {"kb": 2**10, "mb": 2**20, "gb": 2**30, "b": 1}
-    for unit, size in units.items():
-        if text.lower().endswith(unit):
-            return int(text[: -len(unit)]) * size
-    return int(text)
+    number = re.fullmatch(r"(-?\d+)([kmgt]?)b?", text.strip().lower())
+    return int(number[1]) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[number[2]]
 
 
 def lookup_join(
