@@ -153,11 +153,29 @@ def similar(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFram
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, comp): the smallest node of each connected set, for the nodes in ``edges`` (a, b)."""
+    """(node, comp): the smallest node of each connected set, for the nodes in ``edges``, a < b.
+
+    Each node with a smaller neighbour hangs on the smallest one. Only nodes that others hang on
+    take part in the iteration, so a star of any size is one join.
+    """
+    parent = written(edges.groupBy("b").agg(F.min("a").alias("p")))
+    leaders = written(edges.select("a").distinct())
+    across = edges.join(parent, "b").where("a <> p").select(F.least("p", "a").alias("a"), F.greatest("p", "a").alias("b"))
+    upward = parent.join(leaders.withColumnRenamed("a", "b"), "b", "left_semi").select(F.col("p").alias("a"), "b")
+    core = written(across.union(upward).distinct().coalesce(_tasks(edges)))
+    labels = _least_labels(core)
+    hung = parent.join(labels.withColumnRenamed("node", "p"), "p", "left").select(
+        F.col("b").alias("node"), F.coalesce("comp", "p").alias("comp"))
+    tops = leaders.join(parent.withColumnRenamed("b", "a"), "a", "left_anti").withColumnRenamed("a", "node")
+    tops = tops.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+    return written(hung.union(tops).coalesce(_tasks(edges)))
+
+
+def _least_labels(edges: DataFrame) -> DataFrame:
+    """Smallest reachable node by passing labels on and jumping along them."""
     sides = [edges.select("a", "b"), edges.select(F.col("b").alias("a"), F.col("a").alias("b")),
              edges.select("a", F.col("a").alias("b")), edges.select(F.col("b").alias("a"), "b")]
-    both = sides[0].union(sides[1]).union(sides[2]).union(sides[3]).distinct()
-    both = written(both.coalesce(_tasks(edges)))
+    both = written(sides[0].union(sides[1]).union(sides[2]).union(sides[3]).distinct().coalesce(_tasks(edges)))
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp"))
     before = None
     while True:
@@ -172,6 +190,21 @@ def components(edges: DataFrame) -> DataFrame:
         labels = both.join(jumped, "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("comp"))
 
 
+def extended(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """``labels`` after further edges (a, b): only edges between different sets are followed."""
+    for side in ("a", "b"):
+        named = labels.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
+        new = new.join(named, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+    bridges = new.where("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
+    bridges = written(bridges.coalesce(_tasks(new)))
+    if bridges.isEmpty():
+        return labels
+    moved = components(bridges)
+    known = labels.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+    fresh_nodes = moved.join(labels.select("node"), "node", "left_anti").select("node", "comp")
+    return written(known.select("node", F.coalesce("to", "comp").alias("comp")).union(fresh_nodes).coalesce(_tasks(new)))
+
+
 def _tasks(df: DataFrame) -> int:
     """Tasks that write a table of an iteration: as many as the session has cores for, at least."""
     spark = df.sparkSession
@@ -214,7 +247,7 @@ def _links(nodes: DataFrame, texts_of, similarity: float, size: int) -> DataFram
 
     tested = written(similar(ordered(shared), texts, size))
     left, leaders_each = written(_rings(shared, tested, similarity)), 1
-    labels = components(tested.where(F.col("j") >= similarity))
+    labels = components(tested.where(F.col("j") >= similarity).select("a", "b"))
     while True:
         now = left.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
         mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
@@ -230,8 +263,7 @@ def _links(nodes: DataFrame, texts_of, similarity: float, size: int) -> DataFram
         new = ordered(met).join(tested, ["a", "b"], "left_anti")
         new = written(similar(new, texts, size))
         tested = tested.union(new)
-        if not new.where(F.col("j") >= similarity).isEmpty():
-            labels = components(tested.where(F.col("j") >= similarity))
+        labels = extended(labels, new.where(F.col("j") >= similarity).select("a", "b"))
         if leaders_each == 1:
             left = written(_rings(met, tested, similarity))
         else:

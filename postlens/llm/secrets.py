@@ -28,6 +28,8 @@ IDENTIFIER = "[A-Za-z]{12,}"
 #: Log-likelihood ratio, in nats, that a token has to exceed.
 MARGIN = 12.0
 SMOOTHING = 0.5
+#: Weight of a character's own frequency in its probability after another one.
+BACKOFF = 8.0
 _LOW, _RANGE = ord("+"), ord("z") - ord("+") + 1
 _ALPHABET = 66
 
@@ -74,12 +76,19 @@ def train(random: DataFrame, ordinary: DataFrame) -> list[float]:
         ordinary.select(_clean(F.col("value")), F.lit(0)))
     steps = both.where(F.length("value") > 1).select("kind", F.explode(_steps(F.col("value"))).alias("step"))
     counts = {(r["kind"], r["step"]): r["n"] for r in steps.groupBy("kind", "step").agg(F.count("*").alias("n")).collect()}
-    sums: dict[tuple[int, int], int] = {}
+    before: dict[tuple[int, int], int] = {}
+    after: dict[tuple[int, int], int] = {}
+    total = {0: 0, 1: 0}
     for (kind, step), n in counts.items():
-        sums[kind, step // _RANGE] = sums.get((kind, step // _RANGE), 0) + n
+        first, second = divmod(step, _RANGE)
+        before[kind, first] = before.get((kind, first), 0) + n
+        after[kind, second] = after.get((kind, second), 0) + n
+        total[kind] += n
 
     def log_p(kind, step):
-        return math.log((counts.get((kind, step), 0) + SMOOTHING) / (sums.get((kind, step // _RANGE), 0) + SMOOTHING * _ALPHABET))
+        first, second = divmod(step, _RANGE)
+        share = (after.get((kind, second), 0) + SMOOTHING) / (total[kind] + SMOOTHING * _ALPHABET)
+        return math.log((counts.get((kind, step), 0) + BACKOFF * share) / (before.get((kind, first), 0) + BACKOFF))
     return [log_p(1, s) - log_p(0, s) for s in range(_RANGE * _RANGE)]
 
 
