@@ -56,7 +56,8 @@ class Cells:
     parts: np.ndarray
 
     def gaps(self) -> np.ndarray:
-        return np.concatenate([tile for _, tile in distance_tiles(self.pivots, self.pivots)])
+        none = np.zeros((0, len(self.pivots)))
+        return np.concatenate([none, *(tile for _, tile in distance_tiles(self.pivots, self.pivots))])
 
     def lower(self) -> np.ndarray:
         """Smallest distance that rows of two cells can have."""
@@ -77,7 +78,7 @@ def split(df: DataFrame, block_rows: int | None = None, max_cells: int = MAX_CEL
     n = df.count()
     n_cells = max(1, min(max_cells, -(-n // block_rows)))
     chosen = df.select("vec_id", "z").orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_cells).collect()
-    pivots = np.array([r.z for r in chosen], dtype="float64")
+    pivots = np.array([r.z for r in chosen], dtype="float64").reshape(len(chosen), -1 if chosen else 0)
     schema = df.withColumn("cell", F.lit(0)).withColumn("r", F.lit(0.0)).schema
 
     def assign(frames):

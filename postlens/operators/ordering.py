@@ -33,10 +33,11 @@ def with_position(df: DataFrame, order: list[str], name: str = "position") -> Da
 
 
 def equal_slices(df: DataFrame, order: list[str], slices: int) -> DataFrame:
-    """Cut rows into ``slices`` runs of equal length; the remainder at the end is dropped."""
+    """Cut rows into ``slices`` runs of equal length; the remainder at the end is dropped.
+    With fewer rows than slices there is no slice."""
     numbered = with_position(df, order)
     size = F.floor(df.agg(F.count("*").alias("n")).scalar() / slices)
     return (
-        numbered.withColumn("slice_no", F.floor(F.col("position") / size).cast("bigint"))
+        numbered.withColumn("slice_no", F.floor(F.try_divide(F.col("position"), size)).cast("bigint"))
         .where(F.col("slice_no") < slices)
     )

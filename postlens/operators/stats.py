@@ -43,13 +43,14 @@ def wide_counts(counts: DataFrame, column: str, values: list) -> DataFrame:
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, std, min, quartiles and max of an integer column.
 
-    Values are counted first, so the exact quartiles work on distinct values only.
+    Values are counted first, so the exact quartiles work on distinct values only. The
+    deviation of a single row is null.
     """
     v, n = F.col(column), F.col("n")
     counted = df.groupBy(column).agg(F.count("*").alias("n"))
     total = F.sum("n")
     mean = F.sum(v * n) / total
-    variance = (F.sum(v.cast("double") * v * n) - total * mean * mean) / (total - 1)
+    variance = F.try_divide(F.sum(v.cast("double") * v * n) - total * mean * mean, total - 1)
     return counted.agg(
         total.cast("bigint").alias("n_rows"),
         F.round(mean, 6).alias("mean"),
@@ -71,12 +72,13 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
 def density(df: DataFrame, column: str, points: int = 100) -> DataFrame:
     """Gaussian kernel density of an integer column on an even grid.
 
-    Equal values are counted first, then each grid point sums over the distinct values.
+    Equal values are counted first, then each grid point sums over the distinct values. A
+    constant column has no width, and its density is null.
     """
     counted = df.groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
     total = F.sum("n")
     mean = F.sum(F.col("v") * F.col("n")) / total
-    variance = (F.sum(F.col("v") * F.col("v") * F.col("n")) - total * mean * mean) / (total - 1)
+    variance = F.try_divide(F.sum(F.col("v") * F.col("v") * F.col("n")) - total * mean * mean, total - 1)
     facts = counted.agg(
         F.struct(
             total.alias("n"), (F.sqrt(variance) * F.pow(total, F.lit(-0.2))).alias("h"),
@@ -91,8 +93,8 @@ def density(df: DataFrame, column: str, points: int = 100) -> DataFrame:
     placed = counted.select("v", "n", F.explode(grid).alias("point"), f["h"].alias("h"),
                             start.alias("start"), step.alias("step"), f["n"].alias("total"))
     x = F.col("start") + F.col("point") * F.col("step")
-    z = (x - F.col("v")) / F.col("h")
-    kernel = F.col("n") * F.exp(-z * z / 2) / (F.col("total") * F.col("h") * math.sqrt(2 * math.pi))
+    z = F.try_divide(x - F.col("v"), F.col("h"))
+    kernel = F.try_divide(F.col("n") * F.exp(-z * z / 2), F.col("total") * F.col("h") * math.sqrt(2 * math.pi))
     return placed.groupBy("point").agg(
         F.round(F.first(x), 6).alias("x"), F.round(F.sum(kernel), 6).alias("density")
     )

@@ -21,11 +21,12 @@ def resample(df: DataFrame, ts: str, value: Column, width: str = "3 hours", out:
 
 
 def time_bins(df: DataFrame, ts: str, bins: int) -> DataFrame:
-    """Bin number 0..bins-1 of each row for equal-width, right-closed bins over the time range."""
+    """Bin number 0..bins-1 of each row for equal-width, right-closed bins over the time range.
+    If all times are equal the bin is 0."""
     us = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})")
     span = df.agg(F.struct(F.min(us).alias("lo"), F.max(us).alias("hi"))).scalar()
-    number = F.ceil((us - span["lo"]) * bins / (span["hi"] - span["lo"])) - 1
-    return df.withColumn("bin", F.greatest(F.lit(0), number).cast("bigint"))
+    number = F.ceil(F.try_divide((us - span["lo"]) * bins, span["hi"] - span["lo"])) - 1
+    return df.withColumn("bin", F.when(us.isNotNull(), F.greatest(F.lit(0), number)).cast("bigint"))
 
 
 def sparse_bins(binned: DataFrame, bins: int, below: int = 100) -> DataFrame:

@@ -148,20 +148,18 @@ def equal_slices(spark, folder):
 @query("first_sentence", f"""WITH {v.TEXTS} SELECT id, {v.sentences(v.keep(v.for_embedding('text')))}[1] AS first_sentence,
 '0' AS sentence FROM texts""")
 def first_sentence(spark, folder):
-    rows = tok.sentence_arrays(views.texts(spark, folder)).withColumn(
-        "metadata", F.create_map(F.lit("sentence"), F.lit("0"))
-    )
+    rows = tok.sentence_arrays(views.texts(spark, folder)).withColumn("annotated", F.transform("sentences", lambda x, i: F.struct(
+        x.alias("result"), F.create_map(F.lit("sentence"), i.cast("string")).alias("metadata"))))
+    first = F.get("annotated", F.lit(0))
     return rows.select(
-        "id", F.get("sentences", F.lit(0)).alias("first_sentence"),
-        F.element_at("metadata", "sentence").alias("sentence"),
-    )
+        "id", first["result"].alias("first_sentence"), F.element_at(first["metadata"], "sentence").alias("sentence"))
 
 
 @query("vector_to_columns", "SELECT vec_id, " + ", ".join(
-    f"CAST(embedding[{i + 1}] AS DOUBLE) AS z{i}" for i in range(5)) + " FROM embeddings")
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS z{i}" for i in range(64)) + " FROM embeddings")
 def vector_to_columns(spark, folder):
     rows = readers.table(spark, folder, "embeddings")
-    return rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"z{i}") for i in range(5)])
+    return rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"z{i}") for i in range(64)])
 
 
 # -- cleaning -----------------------------------------------------------------------------
