@@ -20,6 +20,7 @@ TABLE = 1 << 16
 #: Training documents per language and in all, at most, taken in the order of a hash of doc_id.
 TRAIN_PER_LANGUAGE = 300
 TRAIN_ROWS = 3000
+SALTS = 64
 #: Words in a training piece, and pieces taken from a document (at its start, middle and end).
 PIECE_WORDS = 30
 #: Words that a chain labels, and words of context before and after that it sees besides.
@@ -184,9 +185,11 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, rows: int = TRA
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     ids = known.groupBy("doc_id", "lang").agg(F.min(F.xxhash64("text")).alias("own"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    ids = ids.orderBy("rank", "lang").limit(rows)
+    ids = ids.withColumn("salt", F.pmod(F.xxhash64("doc_id", "own"), F.lit(SALTS)))
+    for group in (["lang", "salt"], ["lang"]):  # a frequent language is thinned out in many tasks first
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    ids = ids.orderBy("rank", "lang").limit(rows).drop("salt")
     # at most TRAIN_ROWS ids
     picked = known.select("doc_id", "text", "lang", F.xxhash64("text").alias("own")).join(
         F.broadcast(ids), ["doc_id", "lang", "own"]).select("doc_id", "text", "lang")
