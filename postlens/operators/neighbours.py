@@ -53,6 +53,8 @@ def _wanted_cells(cells: blocks.Cells, k: int, giving: np.ndarray | None = None)
     rows of each cell that may be neighbours, if not all may.
     """
     rows = cells.rows if giving is None else giving
+    if not len(rows):
+        return np.zeros((0, 0), bool)
     upper, lower = cells.upper(), cells.lower()
     order = np.argsort(upper, axis=1)
     covered = np.cumsum(rows[order], axis=1)
