@@ -26,6 +26,7 @@ EXCEPTION_TOKEN_RE = r"\S+_[0-9A-Za-z]*|" + TOKEN_RE
 # linear: without the anchor each of its characters would start a new attempt.
 _SPLIT_RE = r"(?:\G|(?<!\w))(\w+)(" + "|".join(CONTRACTIONS) + ")"
 
+#: Longer lists are joined as tables, with the same result (``operators.tokens``).
 MAX_INLINE_ENTRIES = 5000
 
 
@@ -98,8 +99,8 @@ def lemmas(array, entries: dict[str, str]) -> Column:
     return F.transform(array, lambda t: lookup(F.lower(t), entries, t))
 
 
-def tag(token: Column, lexicon: dict[str, str], suffix_rules) -> Column:
-    """Part of speech: lexicon first, then the first rule with a fitting ending, else noun."""
+def suffix_tag(token: Column, suffix_rules) -> Column:
+    """Part of speech by the first rule with a fitting ending, else noun."""
     low = F.lower(token)
     by_suffix = F.lit("NN")
     for endings, name in reversed(suffix_rules):
@@ -107,17 +108,24 @@ def tag(token: Column, lexicon: dict[str, str], suffix_rules) -> Column:
         for ending in endings[1:]:
             fits = fits | low.endswith(ending)
         by_suffix = F.when(fits, F.lit(name)).otherwise(by_suffix)
-    return lookup(low, lexicon, by_suffix)
+    return by_suffix
 
 
-def tagged_sentence(sentence, lexicon, suffix_rules) -> Column:
-    """``word/TAG `` for every token of a sentence, in order, as one string."""
-    parts = F.transform(
-        tokens(sentence), lambda t: F.concat(t, F.lit("/"), tag(t, lexicon, suffix_rules), F.lit(" "))
-    )
+def tag(token: Column, lexicon: dict[str, str], suffix_rules) -> Column:
+    """Part of speech: lexicon first, then the endings."""
+    return lookup(F.lower(token), lexicon, suffix_tag(token, suffix_rules))
+
+
+def tagged(array, token, tag_of) -> Column:
+    """``word/TAG `` for every element of a sentence, in order, as one string."""
+    parts = F.transform(array, lambda e: F.concat(token(e), F.lit("/"), tag_of(e), F.lit(" ")))
     return F.array_join(parts, "")
 
 
+def tagged_sentence(sentence, lexicon, suffix_rules) -> Column:
+    return tagged(tokens(sentence), lambda t: t, lambda t: tag(t, lexicon, suffix_rules))
+
+
 # Tag sequences that make a phrase, in the order they are tried, each with a tag it cannot
 # do without. Matches start at a token, and repeats are possessive, so long sentences are
 # matched without backtracking.

@@ -34,8 +34,11 @@ def value_counts(df: DataFrame, column: str, out: str = "n") -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias(out))
 
 
-def wide_counts(counts: DataFrame, column: str, values: list) -> DataFrame:
-    """Counts as one row with a column per value."""
+def wide_counts(counts: DataFrame, column: str, values: list | None = None) -> DataFrame:
+    """Counts as one row with a column per value, by default per value that occurs."""
+    if values is None:
+        # the values become the columns of the result, so the driver has to know them
+        values = sorted(r[0] for r in counts.where(F.col(column).isNotNull()).select(column).distinct().collect())
     cells = [F.sum(F.when(F.col(column) == v, F.col("n"))).cast("bigint").alias(f"c{v}") for v in values]
     return counts.agg(*cells)
 

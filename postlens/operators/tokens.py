@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from postlens.functions import text as tx, tokens as tk
 from postlens.operators.joins import lookup_join
+from postlens.session import cut
 
 # Small example lists; a caller passes its own for real work.
 STOP_WORDS = (
@@ -28,11 +29,15 @@ POLARITY = {"hold": 1, "good": 1, "moon": 1, "sell": -1, "steep": -1, "not": -1}
 
 @dataclass(frozen=True)
 class TopicConfig:
-    """Word lists and switches of the token pipelines."""
+    """Word lists and switches of the token pipelines.
 
-    stop_words: list[str] = field(default_factory=lambda: list(STOP_WORDS))
-    lemmas: dict[str, str] = field(default_factory=lambda: dict(LEMMAS))
-    tags: dict[str, str] = field(default_factory=lambda: dict(TAGS))
+    Stop words, lemmas and tags may also be tables: (word), (form, lemma), (form, tag). Tables and
+    lists beyond ``MAX_INLINE_ENTRIES`` are joined; shorter lists become expressions.
+    """
+
+    stop_words: list[str] | DataFrame = field(default_factory=lambda: list(STOP_WORDS))
+    lemmas: dict[str, str] | DataFrame = field(default_factory=lambda: dict(LEMMAS))
+    tags: dict[str, str] | DataFrame = field(default_factory=lambda: dict(TAGS))
     suffix_rules: list[tuple[tuple[str, ...], str]] = field(default_factory=lambda: list(SUFFIX_RULES))
     polarity: dict[str, int] = field(default_factory=lambda: dict(POLARITY))
     token_pattern: str = tx.TOKEN_KEEP_RE
@@ -128,35 +133,92 @@ def expand_stop_words(stop: DataFrame) -> DataFrame:
     return base.select(F.explode(F.array("word", curly, bare)).alias("word")).distinct()
 
 
+def _inline(*lists) -> bool:
+    """Whether all word lists are short enough to be part of an expression."""
+    return not any(isinstance(x, DataFrame) or len(x) > tk.MAX_INLINE_ENTRIES for x in lists)
+
+
+def _entries(df: DataFrame, stop, lemmas, tags) -> DataFrame:
+    """(_key, _stop, _lemma, _tag): all word lists as one table, unique in its lower-case key."""
+    def table(x, *names):
+        if isinstance(x, DataFrame):
+            return x.toDF(*names)
+        rows = list(x.items()) if isinstance(x, dict) else [(w,) for w in x]
+        return df.sparkSession.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+
+    words = table(stop, "_key").select(F.lower("_key").alias("_key"), F.lit(True).alias("_stop"))
+    every = words.unionByName(table(lemmas, "_key", "_lemma"), True).unionByName(table(tags, "_key", "_tag"), True)
+    return cut(every.groupBy("_key").agg(
+        F.coalesce(F.max("_stop"), F.lit(False)).alias("_stop"), F.min("_lemma").alias("_lemma"), F.min("_tag").alias("_tag")))
+
+
+def _looked_up(df: DataFrame, nested, entries: DataFrame) -> DataFrame:
+    """``df`` with ``_found``: ``nested``, an array of token arrays, with (token, _stop, _lemma, _tag)
+    for each token. Empty inner arrays are left out.
+
+    The tokens are joined once and come back to their row through one exchange by id; text and
+    other columns do not travel with them.
+    """
+    df = cut(df.withColumn("_nested", nested))
+    rows = df.select("id", F.posexplode("_nested").alias("_outer", "_inner")).select(
+        "id", "_outer", F.posexplode("_inner").alias("_pos", "token"))
+    found = lookup_join(rows.withColumn("_key", F.lower("token")), entries, ["_key"], rows=entries.count())
+    inner = F.array_sort(F.collect_list(F.struct("_pos", "token", "_stop", "_lemma", "_tag")))
+    arrays = found.repartition("id").groupBy("id", "_outer").agg(inner.alias("_inner")).groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("_outer", "_inner"))).alias("_found"))
+    joined = df.join(arrays, "id", "left")
+    some = F.coalesce(F.transform("_found", lambda e: e["_inner"]), F.array().cast(
+        "array<array<struct<_pos:int,token:string,_stop:boolean,_lemma:string,_tag:string>>>"))
+    return joined.withColumn("_found", F.when(F.col("_nested").isNotNull(), some))
+
+
+def _kept(df: DataFrame, array, stop, cfg: TopicConfig, keep=lambda t: F.lit(True)) -> tuple[DataFrame, Column]:
+    """(df, array): tokens that are no stop word and pass ``keep``, lemmatised."""
+    if _inline(stop, cfg.lemmas):
+        return df, tk.lemmas(F.filter(tk.drop_words(array, stop), keep), cfg.lemmas)
+    whole = F.when(array.isNotNull(), F.array(array))
+    df = _looked_up(df, whole, _entries(df, stop, cfg.lemmas, {}))
+    left = F.filter(F.flatten("_found"), lambda e: ~F.coalesce(e["_stop"], F.lit(False)) & keep(e["token"]))
+    return df, F.transform(left, lambda e: F.coalesce(e["_lemma"], e["token"]))
+
+
 def unigrams(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:
     """(id, unigrams): tokens without stop words, lemmatised, cleaned, in lower case."""
-    array = tk.tokens(F.col(text))
-    array = tk.lemmas(tk.drop_words(array, cfg.stop_words), cfg.lemmas)
+    df, array = _kept(df, tk.tokens(F.col(text)), cfg.stop_words, cfg)
     return df.select("id", tk.clean_tokens(array, cfg.token_pattern, lowercase=True).alias("unigrams"))
 
 
 def unigrams_keep_emojis(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:
     """Unigrams per sentence with multi-word exceptions kept whole and emojis kept."""
     cfg = cfg.keep_emojis()
-    words = set(cfg.stop_words) | {"y'all", "yall"}
-    stop = sorted(words | {w.replace("'", "’") for w in words} | {w.replace("'", "") for w in words})
+    if _inline(cfg.stop_words):
+        words = set(cfg.stop_words) | {"y'all", "yall"}
+        stop = sorted(words | {w.replace("'", "’") for w in words} | {w.replace("'", "") for w in words})
+    else:
+        words = cfg.stop_words
+        if not isinstance(words, DataFrame):
+            words = df.sparkSession.createDataFrame([(w,) for w in words], "word string")
+        stop = expand_stop_words(words.toDF("word"))
     pieces = tk.sentences(F.col(text), 1)
     array = F.flatten(F.transform(pieces, lambda s: tk.exception_tokens(s)))
-    array = tk.lemmas(tk.drop_words(array, stop), cfg.lemmas)
+    df, array = _kept(df, array, stop, cfg)
     dropped = cfg.token_pattern + "|http.*"
     return df.select("id", tk.clean_tokens(array, dropped, lowercase=True).alias("unigrams"))
 
 
 def bag_of_lemmas(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:
     """(id, bow): lemma of every token that is neither a stop word nor punctuation."""
-    array = tk.drop_words(tk.tokens(F.col(text)), cfg.stop_words)
-    array = F.filter(array, lambda t: t.rlike("[0-9A-Za-z]"))
-    return df.select("id", tk.lemmas(array, cfg.lemmas).alias("bow"))
+    df, array = _kept(df, tk.tokens(F.col(text)), cfg.stop_words, cfg, lambda t: t.rlike("[0-9A-Za-z]"))
+    return df.select("id", array.alias("bow"))
 
 
 def tagged_tokens(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:
     """(id, pos, token, tag)."""
     rows = token_rows(df, text)
+    if not _inline(cfg.tags):
+        entries = _entries(df, [], {}, cfg.tags).select("_key", "_tag")
+        joined = lookup_join(rows.withColumn("_key", F.lower("token")), entries, ["_key"], rows=entries.count())
+        return joined.select("id", "pos", "token", F.coalesce("_tag", tk.suffix_tag(F.col("token"), cfg.suffix_rules)).alias("tag"))
     return rows.withColumn("tag", tk.tag(F.col("token"), cfg.tags, cfg.suffix_rules))
 
 
@@ -167,26 +229,33 @@ def phrase_rows(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFram
 
 def _phrases(df: DataFrame, cfg: TopicConfig, text: str) -> DataFrame:
     pieces = tk.sentences(F.col(text), cfg.min_sentence)
-    tagged = F.transform(pieces, lambda s: tk.tagged_sentence(s, cfg.tags, cfg.suffix_rules))
     others = [c for c in df.columns if c != "id"]
+    if _inline(cfg.tags):
+        tagged = F.transform(pieces, lambda s: tk.tagged_sentence(s, cfg.tags, cfg.suffix_rules))
+    else:
+        df = _looked_up(df, F.transform(pieces, lambda s: tk.tokens(s)), _entries(df, [], {}, cfg.tags))
+        tagged = F.transform("_found", lambda s: tk.tagged(s, lambda e: e["token"], lambda e: F.coalesce(
+            e["_tag"], tk.suffix_tag(e["token"], cfg.suffix_rules))))
     df = df.select("id", *others, tagged.alias("_tagged"))
     found = F.flatten(F.transform("_tagged", lambda s: tk.phrases(s)))
     return df.select("id", *others, found.alias("phrases"))
 
 
-def _feature(phrase, cfg: TopicConfig):
-    """One phrase as a feature: tokens lemmatised and cleaned, joined by underscores.
+def phrase_features(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:
+    """(id, ngrams): the phrases of each post as an array of joined lemmas.
 
     A phrase is made of finished tokens with one space between them, so tokenising it
     again comes down to splitting at the spaces.
     """
-    return F.array_join(tk.clean_tokens(tk.lemmas(F.split(phrase, " "), cfg.lemmas), cfg.token_pattern), "_")
-
-
-def phrase_features(df: DataFrame, cfg: TopicConfig, text: str = "text") -> DataFrame:
-    """(id, ngrams): the phrases of each post as an array of joined lemmas."""
     found = _phrases(df, cfg, text)
-    grams = F.filter(F.transform("phrases", lambda p: _feature(p, cfg)), lambda g: g != "")
+    if _inline(cfg.lemmas):
+        lemmas = F.transform("phrases", lambda p: tk.lemmas(F.split(p, " "), cfg.lemmas))
+    else:
+        pieces = F.transform("phrases", lambda p: F.split(p, " "))
+        found = _looked_up(found, pieces, _entries(df, [], cfg.lemmas, {}))
+        lemmas = F.transform("_found", lambda p: F.transform(p, lambda e: F.coalesce(e["_lemma"], e["token"])))
+    joined = F.transform(lemmas, lambda p: F.array_join(tk.clean_tokens(p, cfg.token_pattern), "_"))
+    grams = F.filter(joined, lambda g: g != "")
     keep = [c for c in df.columns if c not in ("id", text)]
     return found.select("id", *keep, grams.alias("ngrams"))
 
