@@ -276,7 +276,7 @@ def _reduced(spark, folder, dims):
 
 @query("kmeans_grid")
 def kmeans_grid(spark, folder):
-    grid = models.kmeans_grid(_reduced(spark, folder, [4, 6]), [4, 5, 6])
+    grid = models.kmeans_grid(_reduced(spark, folder, [4, 6]), list(range(4, 20)))
     return grid.groupBy("d", "k", "cluster").agg(F.count("*").alias("n"))
 
 
@@ -286,10 +286,10 @@ def hdbscan_grid(spark, folder):
     return grid.groupBy("d", "m", "eps", "status", "cluster").agg(F.count("vec_id").alias("n"))
 
 
-@query("stability_check", f"WITH {_PLANTED} SELECT string_agg(n, ',' ORDER BY n DESC) AS sizes, 2 AS n_runs FROM groups")
+@query("stability_check", f"WITH {_PLANTED} SELECT string_agg(n, ',' ORDER BY n DESC) AS sizes, 5 AS n_runs FROM groups")
 def stability_check(spark, folder):
     rows = cut(_planted(spark, folder))
-    return models.same_sizes([density.hdbscan(rows, 20, min_samples=MIN_SAMPLES, epsilon=0.3) for _ in range(2)])
+    return models.same_sizes([density.hdbscan(rows, 20, min_samples=MIN_SAMPLES, epsilon=0.3) for _ in range(5)])
 
 
 @query("umap_layout")
