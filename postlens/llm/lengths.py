@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from postlens.llm import words as W
+from postlens.llm.frames import written
 from postlens.llm.token_files import encoder
 
 #: Lengths per group when sums are carried over all lengths; one row per group meets in one task.
@@ -44,8 +45,9 @@ def limits(lengths: DataFrame) -> DataFrame:
     share of documents within, so the smallest limit of a share of at least q is the q-quantile.
     A limit between two rows keeps what the row below it says plus (limit - n_tokens) x docs_over.
     """
-    sized = lengths.select("n_tokens", "docs", (F.col("n_tokens") * F.col("docs")).alias("tokens"),
-                           F.floor(F.col("n_tokens") / GROUP).alias("part"))
+    # read twice below: without the table the histogram would be computed, that is encoded, twice
+    sized = written(lengths.select("n_tokens", "docs", (F.col("n_tokens") * F.col("docs")).alias("tokens"),
+                                   F.floor(F.col("n_tokens") / GROUP).alias("part")))
     parts = sized.groupBy("part").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
     after = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
