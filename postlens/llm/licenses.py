@@ -1,16 +1,25 @@
-"""License notices in documents: winnowed fingerprints pick candidates, an alignment measures them.
+"""License notices and texts in documents: winnowed fingerprints pick candidates, an alignment measures them.
 
-Templates are short and few, so their inverted index (fingerprint to template and place) is a
-constant of the job. Of every two neighbouring runs of three words the smaller hash is kept, on
-both sides, so a shared run of four words always shares a fingerprint. Hits of a template on
-close diagonals are one candidate; a local alignment of words in a band around the diagonals
-gives the matched share of the template and the span in the text.
+The templates are a versioned file of notices, headers and whole public texts. Their inverted
+index (fingerprint to template and place) goes to every task and is of bounded size. Of every two
+neighbouring runs of three words the smaller hash is kept, on both sides, so a shared run of four
+words always shares a fingerprint. Hits of a short template on close diagonals are one candidate;
+a local alignment of words in a band around the diagonals gives the matched share of the template
+and the span in the text. Hits of a long one are chained by rising place, and the words between
+them are compared. SPDX tags are read by their grammar, whichever license they name.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from bisect import bisect_left
+from difflib import SequenceMatcher
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from postlens.llm import words as W
@@ -19,31 +28,19 @@ RUN = 3
 KEEP_OF = 2
 BAND = 4
 COVERAGE = 0.8
-#: Notices by license name. Public texts.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "Apache-2.0-header": (
-        "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
-        "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
-        "either express or implied."),
-    "BSD-redistribution": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met"),
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "CC-BY-4.0": "licensed under a Creative Commons Attribution 4.0 International License",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-        "later version."),
-    "MIT": "Released under the MIT License",
-    "MIT-permission": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
-        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-}
+#: Templates of more words are chained instead of aligned in a band.
+LONG = 120
+#: A candidate has a hit for so many words of its template. With a fifth of the words missing,
+#: (0.8 n - 3 s) / 2 hits are left if s runs of words are whole, which is n / 20 for s up to 0.23 n.
+WORDS_A_HIT = 20
+#: Bound on the templates together: words, of which each takes some 100 bytes in a task.
+MOST_WORDS = 1_000_000
+_LIST = json.loads((Path(__file__).parent / "license_list.json").read_text())
+#: Notices, headers and whole texts by license name; the part from # on only tells wordings apart.
+TEMPLATES = {x["name"]: x["text"] for x in _LIST["licenses"]}
+_ID = r"[A-Za-z0-9]+(?:[.:+-]+[A-Za-z0-9]+)*\+?"
+_TAG = re.compile(rf"SPDX-License-Identifier:[ \t]*+((?:\([ \t]*)*{_ID}(?:[ \t]*+\))*(?:[ \t]++(?:AND|OR|WITH)[ \t]++(?:\([ \t]*)*{_ID}(?:[ \t]*+\))*)*)", re.I)
+_NAMED = re.compile(rf"{_ID}(?:[ \t]+WITH[ \t]+{_ID})?", re.I)
 
 
 def fingerprints(words: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,18 +87,75 @@ def align(template: list[int], text: list[int], diagonal: int, reach: int):
     return best[1:]
 
 
+def chained(template: np.ndarray, text: np.ndarray, place: np.ndarray, at: np.ndarray):
+    """(matched words, first, end) of the occurrences of a long template, from hits (place in the
+    template, place in the text). An occurrence has diagonals within a quarter of the template."""
+    n, reach = len(template), len(template) // 4
+    while len(at):
+        order = np.argsort(at - place, kind="stable")
+        diagonal = (at - place)[order]
+        ends = np.searchsorted(diagonal, diagonal + reach, "right")
+        peak = int(np.argmax(ends - np.arange(len(order))))
+        mine = order[peak: ends[peak]]
+        if len(mine) * WORDS_A_HIT < n:
+            return
+        left = np.ones(len(at), bool)
+        left[mine] = False
+        mine = mine[np.lexsort((-place[mine], at[mine]))]
+        tails, spots, back = [], [], []
+        for k, p in enumerate(place[mine].tolist()):
+            i = bisect_left(tails, p)
+            back.append(spots[i - 1] if i else -1)
+            tails[i:i + 1], spots[i:i + 1] = [p], [k]
+        chain, k = [], spots[-1]
+        while k >= 0:
+            chain.append((int(place[mine[k]]), int(at[mine[k]])))
+            k = back[k]
+        chain.reverse()
+        p, x = chain[0]
+        head = min(p, x)
+        same = np.flatnonzero(template[p - head: p] == text[x - head: x])
+        matched, first = len(same), x - head + int(same[0]) if len(same) else x
+        for (p, x), (q, y) in zip(chain, chain[1:]):
+            if q - p == y - x:
+                matched += int((template[p:q] == text[x:y]).sum())
+            elif y - x <= 2 * (q - p) + n:  # unequal words between two hits
+                blocks = SequenceMatcher(None, template[p:q].tolist(), text[x:y].tolist(), False).get_matching_blocks()
+                matched += sum(b.size for b in blocks)
+        p, x = chain[-1]
+        rest = min(n - p, len(text) - x)
+        same = np.flatnonzero(template[p: p + rest] == text[x: x + rest])
+        yield matched + len(same), first, x + int(same[-1]) + 1
+        place, at = place[left], at[left]
+
+
+def tags(text: str):
+    """(license, start, end) of the identifiers in the SPDX tags of a text."""
+    for tag in _TAG.finditer(text):
+        for m in _NAMED.finditer(text, tag.start(1), tag.end(1)):
+            if m[0].upper() not in ("AND", "OR", "WITH"):
+                yield m[0], m.start(), m.end()
+
+
 def _scanner(templates: dict[str, str], coverage: float):
     names = list(templates)
+    shown = [n.split("#")[0] for n in names]
 
     def run(batches):
         reader = W.Reader(W.byte_classes())
         known = reader.read(W.folded(W.strings(pa.array([templates[n] for n in names], pa.string()))))
         at, doc, h = fingerprints(known)
+        size = known.count
+        _, which, often = np.unique(np.stack([doc.astype(np.uint64), h]), axis=1, return_inverse=True, return_counts=True)
+        use = (size[doc] <= LONG) | (often[which.ravel()] == 1)  # a long template's repeats say nothing of the place
+        at, doc, h = at[use], doc[use], h[use]
         order = np.argsort(h, kind="stable")
         index, owner, place = h[order], doc[order], (at - known.first[doc])[order]
-        bodies = [known.hash[a:b].tolist() for a, b in zip(known.first[:-1], known.first[1:])]
+        bodies = [known.hash[a:b] for a, b in zip(known.first[:-1], known.first[1:])]
+        least = np.maximum(1, -(-size // WORDS_A_HIT))
         for batch in batches:
             texts, ids = W.strings(batch.column("text")), batch.column("doc_id")
+            tagged = pc.match_substring(texts, "SPDX-License-Identifier", ignore_case=True)
             for lo, hi in W.blocks(texts):
                 part = texts.slice(lo, hi - lo)
                 w = reader.read(W.folded(part))
@@ -110,27 +164,33 @@ def _scanner(templates: dict[str, str], coverage: float):
                 count = np.searchsorted(index, h, "right") - first
                 hit = np.repeat(np.arange(len(h)), count)
                 entry = np.repeat(first, count) + np.arange(len(hit)) - np.repeat(np.cumsum(count) - count, count)
+                pair = doc[hit] * len(names) + owner[entry]
+                _, back, hits = np.unique(pair, return_inverse=True, return_counts=True)
+                enough = hits[back] >= least[owner[entry]]
+                hit, entry, pair = hit[enough], entry[enough], pair[enough]
                 diagonal = at[hit] - w.first[doc[hit]] - place[entry]
-                candidates = sorted(zip(doc[hit].tolist(), owner[entry].tolist(), diagonal.tolist()))
+                order = np.lexsort((diagonal, pair))
+                hit, entry, pair, diagonal = hit[order], entry[order], pair[order], diagonal[order]
+                cuts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else pair
                 data, offsets = W.raw(part)
                 points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 found = set()
-                k = 0
-                while k < len(candidates):
-                    d, t, low = candidates[k]
-                    high = low
-                    while k < len(candidates) and candidates[k][:2] == (d, t) and candidates[k][2] <= high + BAND:
-                        high = candidates[k][2]
-                        k += 1
-                    base = int(w.first[d])
-                    start = max(0, low - BAND)
-                    body = bodies[t]
-                    text = w.hash[base + start: min(int(w.first[d + 1]), base + high + len(body) + BAND)].tolist()
-                    matched, a, b = align(body, text, low - start, high - low)
-                    if matched >= coverage * len(body):
-                        s, e = w.start[base + start + a], w.end[base + start + b - 1]
-                        zero = points[offsets[d]]
-                        found.add((d, names[t], matched / len(body), int(points[s] - zero), int(points[e] - zero)))
+                for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(pair)).tolist()):
+                    d, t = divmod(int(pair[a]), len(names))
+                    base, body = int(w.first[d]), bodies[t]
+                    text = w.hash[base: int(w.first[d + 1])]
+                    if len(body) > LONG:
+                        spans = chained(body, text, place[entry[a:b]], at[hit[a:b]] - base)
+                    else:
+                        spans = _banded(body.tolist(), text, diagonal[a:b].tolist(), int(least[t]))
+                    for matched, x, y in spans:
+                        if matched >= coverage * len(body):
+                            zero = points[offsets[d]]
+                            found.add((d, shown[t], matched / len(body), int(points[w.start[base + x]] - zero),
+                                       int(points[w.end[base + y - 1]] - zero)))
+                for d in range(lo, hi):
+                    if tagged[d].as_py():
+                        found.update((d - lo, name, 1.0, x, y) for name, x, y in tags(texts[d].as_py()))
                 found = sorted(found)
                 if found:
                     cols = list(zip(*found))
@@ -140,16 +200,39 @@ def _scanner(templates: dict[str, str], coverage: float):
     return run
 
 
+def _banded(body: list[int], words: np.ndarray, diagonals: list[int], least: int):
+    """(matched words, first, end) of a short template, for each group of close diagonals."""
+    k = 0
+    while k < len(diagonals):
+        low = high = diagonals[k]
+        first = k
+        while k < len(diagonals) and diagonals[k] <= high + BAND:
+            high = diagonals[k]
+            k += 1
+        if k - first < least:
+            continue
+        start = max(0, low - BAND)
+        text = words[start: high + len(body) + BAND].tolist() if high + len(body) + BAND > 0 else []
+        matched, a, b = align(body, text, low - start, high - low)
+        if matched:
+            yield matched, start + a, start + b
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, license, coverage, start, end): every place where at least ``coverage`` of a
-    template's words are matched in order; places in code points, end exclusive.
+    template's words are matched in order; places in code points, end exclusive. Whole texts have
+    names that end in -text; identifiers in SPDX tags are reported as they are written.
 
-    ``templates`` maps names to notices and goes to every task, so it is meant for a list of
-    notices, not for a table. Null and empty texts have none; texts without a match give no
-    row; a notice that occurs twice gives two rows; repeated documents give their rows each time. Other
-    columns are not read.
+    ``templates`` maps names to notices or texts, instead of those of license_list.json. They go
+    to every task (Spark broadcasts what is over 1 MB), so they may have MOST_WORDS words
+    together. Text inserted into a long template counts up to a quarter of its length. Null and
+    empty texts have none; texts without a match give no row; a notice that occurs twice gives two rows;
+    repeated documents give their rows each time. Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    run = _scanner(dict(TEMPLATES if templates is None else templates), coverage)
+    templates = dict(TEMPLATES if templates is None else templates)
+    if sum(len(t.split()) for t in templates.values()) > MOST_WORDS:
+        raise ValueError(f"the templates have more than {MOST_WORDS} words together")
+    run = _scanner(templates, coverage)
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, license string, coverage double, start bigint, end bigint")

@@ -273,6 +273,28 @@ def test_license_places_and_edits(spark, odd, empty):
     assert licenses.scan(odd).count() == 0 and licenses.scan(empty).count() == 0
 
 
+def test_whole_texts_and_edited_copies(spark):
+    """Each template is found as it is, with every twelfth word changed, and in the middle of other text."""
+    rows, names = [], list(licenses.TEMPLATES)
+    for i, name in enumerate(names):
+        words = licenses.TEMPLATES[name].split()
+        rows.append((3 * i, " ".join(words)))
+        rows.append((3 * i + 1, " ".join("changed" if k % 12 == 11 and len(words) > 40 else w for k, w in enumerate(words))))
+        rows.append((3 * i + 2, f"{prose(i, 50)} {licenses.TEMPLATES[name]} {prose(i + 1, 50)}"))
+    got = {(r.doc_id, r.license): r.coverage for r in licenses.scan(table(spark, rows)).collect()}
+    for i, name in enumerate(names):
+        shown = name.split("#")[0]
+        assert got.get((3 * i, shown)) == 1.0 and got.get((3 * i + 2, shown)) == 1.0, name
+        assert got.get((3 * i + 1, shown), 0) >= 0.8, name
+
+
+def test_license_tags(spark):
+    rows = [(1, "é // SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0\nAND more"),
+            (2, "# spdx-license-identifier: LicenseRef-own."), (3, "an SPDX-License-Identifier names the license")]
+    got = sorted((r.doc_id, rows[r.doc_id - 1][1][r.start: r.end], r.license) for r in licenses.scan(table(spark, rows)).collect())
+    assert got == [(i, n, n) for i, n in [(1, "Apache-2.0"), (1, "GPL-2.0-only WITH Classpath-exception-2.0"), (1, "MIT"), (2, "LicenseRef-own")]]
+
+
 # -- 7 token files ----------------------------------------------------------------------------
 
 TRICKY = ["", "don't I'm they'll 's", "a—b, … “x” 12.5kg 3½", "<|endoftext|> <|ENDOFTEXT|>x", "é É Å ñandú İstanbul ÷ × à×b", "\x00\x1c\x85 x",
