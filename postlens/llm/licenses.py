@@ -38,6 +38,8 @@ MOST_WORDS = 1_000_000
 _LIST = json.loads((Path(__file__).parent / "license_list.json").read_text())
 #: Notices, headers and whole texts by license name; the part from # on only tells wordings apart.
 TEMPLATES = {x["name"]: x["text"] for x in _LIST["licenses"]}
+#: Runs of words, by template, that a match has to contain as they are: family, variant and version.
+REQUIRED = {x["name"]: x["required"] for x in _LIST["licenses"]}
 _ID = r"[A-Za-z0-9]+(?:[.:+-]+[A-Za-z0-9]+)*\+?"
 _TAG = re.compile(rf"SPDX-License-Identifier:[ \t]*+((?:\([ \t]*)*{_ID}(?:[ \t]*+\))*(?:[ \t]++(?:AND|OR|WITH)[ \t]++(?:\([ \t]*)*{_ID}(?:[ \t]*+\))*)*)", re.I)
 _NAMED = re.compile(rf"{_ID}(?:[ \t]+WITH[ \t]+{_ID})?", re.I)
@@ -137,8 +139,27 @@ def tags(text: str):
                 yield m[0], m.start(), m.end()
 
 
-def _scanner(templates: dict[str, str], coverage: float):
+def _holds(text: list[int], run: list[int]) -> bool:
+    """Whether ``run`` is in ``text`` as neighbouring words."""
+    return any(text[i: i + len(run)] == run for i in range(len(text) - len(run) + 1))
+
+
+def _best(spans: list[tuple]) -> list[tuple]:
+    """Of (row, first, end, matched, coverage, template) that overlap in a row, the one of most
+    matched words, then of most coverage."""
+    kept, ranges = [], {}
+    for s in sorted(spans, key=lambda s: (s[0], -s[3], -s[4], s[1], s[5])):
+        own = ranges.setdefault(s[0], [])  # disjoint and sorted
+        i = bisect_left(own, (s[1], s[2]))
+        if (i == 0 or own[i - 1][1] <= s[1]) and (i == len(own) or own[i][0] >= s[2]):
+            own.insert(i, (s[1], s[2]))
+            kept.append(s)
+    return kept
+
+
+def _scanner(templates: dict[str, str], required: dict[str, list[str]], coverage: float):
     names = list(templates)
+    phrases = [[n, p] for n in range(len(names)) for p in required.get(names[n], [])]
     shown = [n.split("#")[0] for n in names]
 
     def run(batches):
@@ -146,6 +167,10 @@ def _scanner(templates: dict[str, str], coverage: float):
         known = reader.read(W.folded(W.strings(pa.array([templates[n] for n in names], pa.string()))))
         at, doc, h = fingerprints(known)
         size = known.count
+        asked = reader.read(W.folded(W.strings(pa.array([p for _, p in phrases], pa.string()))))
+        musts = [[] for _ in names]
+        for (n, _), a, b in zip(phrases, asked.first[:-1], asked.first[1:]):
+            musts[n].append(asked.hash[a:b].tolist())
         _, which, often = np.unique(np.stack([doc.astype(np.uint64), h]), axis=1, return_inverse=True, return_counts=True)
         use = (size[doc] <= LONG) | (often[which.ravel()] == 1)  # a long template's repeats say nothing of the place
         at, doc, h = at[use], doc[use], h[use]
@@ -174,7 +199,7 @@ def _scanner(templates: dict[str, str], coverage: float):
                 cuts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else pair
                 data, offsets = W.raw(part)
                 points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                found = set()
+                spans_found, found = [], set()
                 for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(pair)).tolist()):
                     d, t = divmod(int(pair[a]), len(names))
                     base, body = int(w.first[d]), bodies[t]
@@ -184,10 +209,11 @@ def _scanner(templates: dict[str, str], coverage: float):
                     else:
                         spans = _banded(body.tolist(), text, diagonal[a:b].tolist(), int(least[t]))
                     for matched, x, y in spans:
-                        if matched >= coverage * len(body):
-                            zero = points[offsets[d]]
-                            found.add((d, shown[t], matched / len(body), int(points[w.start[base + x]] - zero),
-                                       int(points[w.end[base + y - 1]] - zero)))
+                        if matched >= coverage * len(body) and all(_holds(text[x:y].tolist(), m) for m in musts[t]):
+                            spans_found.append((d, x, y, matched, matched / len(body), t))
+                for d, x, y, _, share, t in _best(spans_found):
+                    zero, base = points[offsets[d]], int(w.first[d])
+                    found.add((d, shown[t], share, int(points[w.start[base + x]] - zero), int(points[w.end[base + y - 1]] - zero)))
                 for d in range(lo, hi):
                     if tagged[d].as_py():
                         found.update((d - lo, name, 1.0, x, y) for name, x, y in tags(texts[d].as_py()))
@@ -218,12 +244,15 @@ def _banded(body: list[int], words: np.ndarray, diagonals: list[int], least: int
             yield matched, start + a, start + b
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE,
+         required: dict[str, list[str]] | None = None) -> DataFrame:
     """(doc_id, license, coverage, start, end): every place where at least ``coverage`` of a
-    template's words are matched in order; places in code points, end exclusive. Whole texts have
+    template's words are matched in order, and its ``required`` runs of words are there unchanged;
+    of places that overlap, the template with the most matched words. Places are in code points, end exclusive. Whole texts have
     names that end in -text; identifiers in SPDX tags are reported as they are written.
 
-    ``templates`` maps names to notices or texts, instead of those of license_list.json. They go
+    ``templates`` maps names to notices or texts, instead of those of license_list.json; these have
+    required words only if ``required`` names them. They go
     to every task (Spark broadcasts what is over 1 MB), so they may have MOST_WORDS words
     together. Text inserted into a long template counts up to a quarter of its length. Null and
     empty texts have none; texts without a match give no row; a notice that occurs twice gives two rows;
@@ -233,6 +262,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     templates = dict(TEMPLATES if templates is None else templates)
     if sum(len(t.split()) for t in templates.values()) > MOST_WORDS:
         raise ValueError(f"the templates have more than {MOST_WORDS} words together")
-    run = _scanner(templates, coverage)
+    if required is None:
+        required = REQUIRED if templates == TEMPLATES else {}
+    run = _scanner(templates, required, coverage)
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, license string, coverage double, start bigint, end bigint")

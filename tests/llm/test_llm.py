@@ -295,6 +295,26 @@ def test_license_tags(spark):
     assert got == [(i, n, n) for i, n in [(1, "Apache-2.0"), (1, "GPL-2.0-only WITH Classpath-exception-2.0"), (1, "MIT"), (2, "LicenseRef-own")]]
 
 
+def test_sibling_licenses(spark):
+    """Words put into a title, or another version, make it another license; one row a place."""
+    lines = {
+        "This work is licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3": "AGPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2": "GPL-2.0",
+        "This work is licensed under the GNU General Public License, version 3": "GPL-3.0",
+        "Licensed under CC BY 4.0": "CC-BY-4.0", "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0",
+        "Licensed under CC BY-ND 4.0": "CC-BY-ND-4.0", "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0",
+        "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0", "Licensed under the Apache License, Version 1.1": "Apache-1.1",
+        "This work is licensed under the GNU General Public License, version 9": None, "Licensed under CC BY-XX 4.0": None,
+        "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+        licenses.TEMPLATES["MIT-0-text"]: "MIT-0-text", licenses.TEMPLATES["BSD-2-Clause-text"]: "BSD-2-Clause-text", licenses.TEMPLATES["BSD-3-Clause-text"]: "BSD-3-Clause-text",
+        licenses.TEMPLATES["LGPL-2.1-text"]: "LGPL-2.1-text", licenses.TEMPLATES["GPL-2.0-text"]: "GPL-2.0-text",
+    }
+    rows = list(enumerate(f"{prose(1, 9)} {t} {prose(2, 9)}" for t in lines))
+    got = sorted((r.doc_id, r.license) for r in licenses.scan(table(spark, rows)).collect())
+    assert got == [(i, n) for i, n in enumerate(lines.values()) if n]
+
+
 # -- 7 token files ----------------------------------------------------------------------------
 
 TRICKY = ["", "don't I'm they'll 's", "a—b, … “x” 12.5kg 3½", "<|endoftext|> <|ENDOFTEXT|>x", "é É Å ñandú İstanbul ÷ × à×b", "\x00\x1c\x85 x",
