@@ -2,7 +2,8 @@
 
 Texts become templates: lower-cased words, where a number, a unit after a number and a name
 inside a sentence are typed placeholders. Windows of templates are hash-joined between
-documents and benchmark; matches that lie on one diagonal of (document, item) are an alignment.
+documents and benchmark, with the values instead of the placeholders where placeholders are half of
+a window or more, so that tables and sums are found as they are; matches that lie on one diagonal of (document, item) are an alignment.
 It counts if its slots are consistent: equal benchmark values have equal document values and
 different ones different. So a question asked with other figures is found, while a form letter
 filled in another order is not.
@@ -89,15 +90,19 @@ class Templates:
 
 
 def windows_of(t: dict, size: int):
-    """(first token, hash) of the windows of ``size`` tokens of which over half are literal."""
+    """(first token, hash) of the windows of ``size`` tokens. Those of which half or more are not
+    literal are hashed with their values, so they only equal windows of the same values."""
     n = len(t["doc"])
     at = np.flatnonzero(t["first"][1:][t["doc"]] - np.arange(n) >= size) if n else np.zeros(0, np.int64)
     literal = np.concatenate([[0], np.cumsum(t["slot"] == 0)])
-    at = at[(literal[at + size] - literal[at]) * 2 > size] if len(at) else at
+    valued = (literal[at + size] - literal[at]) * 2 <= size
     h = np.full(len(at), np.uint64(size))
+    few = np.full(int(valued.sum()), ~np.uint64(size))
     with np.errstate(over="ignore"):
         for j in range(size):
             h = W.mix(h * np.uint64(W.MULTIPLIER) + t["hash"][at + j])
+            few = W.mix(few * np.uint64(W.MULTIPLIER) + t["value"][at[valued] + j])
+    h[valued] = few
     return at, h
 
 
@@ -113,7 +118,7 @@ def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _HITS = "row bigint, names boolean, pos bigint, hash bigint, slots array<bigint>, start bigint, end bigint"
 
 
-def _finder(sizes: list[int], field: np.ndarray | None, key: str):
+def _finder(sizes: list[int], field: np.ndarray | None, key: str, window: int):
     """Windows of each text; with ``field``, those whose two bits are set."""
     def run(batches):
         templates = Templates()
@@ -134,7 +139,7 @@ def _finder(sizes: list[int], field: np.ndarray | None, key: str):
                             hit = (field[a >> np.uint64(6)] >> (a & np.uint64(63))) & np.uint64(1) & (
                                 field[b >> np.uint64(6)] >> (b & np.uint64(63)))
                             at, h = at[hit > 0], h[hit > 0]
-                        elif size < WINDOW:  # a shorter benchmark item is one window of all its tokens
+                        elif size < window:  # a shorter benchmark item is one window of all its tokens
                             whole = total[t["doc"][at]] == size
                             at, h = at[whole], h[whole]
                         if not len(at):
@@ -151,10 +156,10 @@ def _finder(sizes: list[int], field: np.ndarray | None, key: str):
     return run
 
 
-def _windows(df: DataFrame, key: str, sizes: list[int], field=None) -> DataFrame:
+def _windows(df: DataFrame, key: str, sizes: list[int], window: int, field=None) -> DataFrame:
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, "text", F.xxhash64(key, "text").alias("row")).mapInArrow(
-        _finder(sizes, field, key), f"{key} {kind}, {_HITS}")
+        _finder(sizes, field, key, window), f"{key} {kind}, {_HITS}")
 
 
 def _field(windows: DataFrame) -> np.ndarray:
@@ -179,13 +184,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     windows, ``exact`` says that all its slots have the benchmark's values, ``start`` and
     ``end`` are code points. ``row`` is the hash of id and text.
 
-    Null and empty texts match nothing, on either side. Items of 5 to 12 tokens are one window;
+    Null and empty texts match nothing, on either side. Items of 5 tokens up to ``window`` are one window;
     shorter items are not searched for, since a few words are no evidence. Items with the same
     windows in all places count as one, under the smallest item_id. Repeated rows of ``docs``
     give one result row. Empty tables give an empty result; other columns are not read.
     """
-    sizes = list(range(SHORTEST, window + 1))
-    found = _windows(benchmark, "item_id", sizes)
+    sizes = list(range(min(SHORTEST, window), window + 1))
+    found = _windows(benchmark, "item_id", sizes, window)
     items = found.groupBy("item_id", "row").agg(
         F.count_if("names").alias("n"),
         F.sum(F.xxhash64("names", "pos", "hash", "slots").cast("decimal(38,0)")).alias("print"))
@@ -193,7 +198,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     known = written(found.join(items, ["item_id", "row"]).drop("row").withColumnsRenamed(
         {"pos": "item_pos", "slots": "item_slots"}).drop("start", "end"))
     used = sorted(r["s"] for r in _sizes(known, benchmark, window).collect())
-    hits = _windows(docs, "doc_id", used, _field(known))
+    hits = _windows(docs, "doc_id", used, window, _field(known))
     met = hits.join(known.dropDuplicates(["item_id", "names", "item_pos", "hash"]), ["hash", "names"])
     place = ["doc_id", "row", "item_id", "names", F.col("pos") - F.col("item_pos")]
     runs = met.groupBy(*place[:-1], place[-1].alias("diagonal")).agg(
@@ -211,14 +216,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
 
 
 def _sizes(known: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
-    """Window sizes that occur in the benchmark: at most window - 4 rows."""
+    """Window sizes that occur in the benchmark: at most ``window`` rows."""
     def run(batches):
         templates = Templates()
         for batch in batches:
             texts = W.strings(batch.column("text"))
             for lo, hi in W.blocks(texts):
                 sizes = {min(int(n), window) for names in (True, False)
-                         for n in np.diff(templates.read(texts.slice(lo, hi - lo), names)["first"]) if n >= SHORTEST}
+                         for n in np.diff(templates.read(texts.slice(lo, hi - lo), names)["first"]) if n >= min(SHORTEST, window)}
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(sizes), pa.int64())], names=["s"])
     return benchmark.select("text").mapInArrow(run, "s bigint").distinct()
 

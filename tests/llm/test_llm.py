@@ -134,6 +134,17 @@ def test_slots_must_be_consistent(spark):
     assert [r.doc_id for r in decontaminate.matches(table(spark, rows), benchmark).collect()] == [1]
 
 
+def test_items_of_mostly_numbers(spark):
+    """They are found as they are, and not with other numbers; also with windows below 13."""
+    items = ["What is 12 + 30 * 4?", "Row 1 2 3 4 then 5 6 7 8 then 9 10 11 12 ends 13 14 15 16"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = [(1, f"Intro words. {items[0]} Outro."), (2, items[0].replace("30", "31")), (3, f"a b. {items[1]}"), (4, items[1].replace("8", "80").replace("9", "90"))]
+    assert {(r.doc_id, r.item_id, r.exact) for r in decontaminate.matches(table(spark, rows), benchmark).collect()} == {(1, 0, True), (3, 1, True)}
+    item = prose(8, 11)
+    found = decontaminate.matches(table(spark, [(1, item)]), spark.createDataFrame([(5, item)], "item_id bigint, text string"), window=10)
+    assert [(r.doc_id, r.item_id, r.coverage) for r in found.collect()] == [(1, 5, 1.0)]
+
+
 def test_decontamination_agrees_with_search(spark, docs):
     benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
     plain = lambda t: re.findall(r"[^\W_]+", t.lower())
