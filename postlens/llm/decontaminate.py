@@ -5,7 +5,8 @@ inside a sentence are typed placeholders. Windows of templates are hash-joined b
 documents and benchmark, with the values instead of the placeholders where placeholders are half of
 a window or more, so that tables and sums are found as they are; matches that lie on one diagonal of (document, item) are an alignment.
 It counts if its slots are consistent: equal benchmark values have equal document values and
-different ones different. So a question asked with other figures is found, while a form letter
+different ones different. With ``partial``, as in the queries, an alignment that is not consistent as
+a whole counts by its longest consistent run or by its verbatim windows. So a question asked with other figures is found, while a form letter
 filled in another order is not.
 """
 
@@ -176,11 +177,74 @@ def _field(windows: DataFrame) -> np.ndarray:
     return field
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def consistent(pairs) -> bool:
+    """Whether (benchmark value, document value) pairs are one to one."""
+    pairs = set(pairs)
+    return len({b for b, _ in pairs}) == len(pairs) == len({d for _, d in pairs})
+
+
+def best_run(windows: list, partial: bool):
+    """(first, last, count, exact) of what counts of the windows of one diagonal, given as lists of
+    pairs in the order of the item, or None: all of them if consistent; else, with ``partial``, the
+    longest consistent run, or the windows of equal values if they are as many."""
+    equal = [all(b == d for b, d in w) for w in windows]
+    if consistent(p for w in windows for p in w):
+        return 0, len(windows) - 1, len(windows), all(equal)
+    if not partial:
+        return None
+    best, lo, count, there, back = (0, False, 0, 0), 0, {}, {}, {}
+    for hi, pairs in enumerate(windows):
+        while lo < hi and any(there.get(b, d) != d or back.get(d, b) != b for b, d in pairs):
+            for pair in set(windows[lo]):
+                count[pair] -= 1
+                if not count[pair]:
+                    del count[pair], there[pair[0]], back[pair[1]]
+            lo += 1
+        if not consistent(pairs):  # a window that clashes with itself is in no run
+            for pair in list(count):
+                del count[pair], there[pair[0]], back[pair[1]]
+            lo = hi + 1
+            continue
+        for b, d in set(pairs):
+            count[b, d] = count.get((b, d), 0) + 1
+            there[b], back[d] = d, b
+        best = max(best, (hi + 1 - lo, all(b == d for b, d in count), -lo, hi))
+    same = [i for i, e in enumerate(equal) if e]
+    if same and (len(same), True) >= best[:2]:
+        return same[0], same[-1], len(same), True
+    return (-best[2], best[3], best[0], best[1]) if best[0] else None
+
+
+_RUNS = "windows bigint, exact boolean, start bigint, end bigint"
+
+
+def _judge(partial: bool, names: list[str]):
+    """What counts of each diagonal."""
+    def run(batches):
+        for batch in batches:
+            take, out = [], []
+            for i, met in enumerate(batch.column("met").to_pylist()):
+                got = best_run([list(zip(m["item_slots"], m["slots"])) for m in met], partial)
+                if got:
+                    first, last, count, exact = got
+                    take.append(i)
+                    out.append((count, exact, met[first]["start"], met[last]["end"]))
+            if take:
+                at = pa.array(take)
+                columns = list(zip(*out))
+                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(n).take(at) for n in names] + [pa.array(c, k) for c, k in zip(columns, kinds)],
+                    names=[*names, "windows", "exact", "start", "end"])
+    return run
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, partial: bool = False) -> DataFrame:
     """(doc_id, row, item_id, windows, coverage, exact, start, end) of contaminated documents.
 
     One row per document text and benchmark item with a consistent alignment of at least one
-    window: that with the most windows, then the first. ``coverage`` is the share of the item's
+    window: that with the most windows, then the first. Without ``partial`` an alignment has to be
+    consistent as a whole; with it, its best consistent run counts. ``coverage`` is the share of the item's
     windows, ``exact`` says that all its slots have the benchmark's values, ``start`` and
     ``end`` are code points. ``row`` is the hash of id and text.
 
@@ -202,14 +266,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     met = hits.join(known.dropDuplicates(["item_id", "names", "item_pos", "hash"]), ["hash", "names"])
     place = ["doc_id", "row", "item_id", "names", F.col("pos") - F.col("item_pos")]
     runs = met.groupBy(*place[:-1], place[-1].alias("diagonal")).agg(
-        F.countDistinct("item_pos").alias("windows"), F.max("n").alias("n"), F.min("start").alias("start"), F.max("end").alias("end"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(
-            F.col("item_slots").alias("b"), F.col("slots").alias("d"))))).alias("pairs"))
-    ways = [F.size(F.array_distinct(f"pairs.{side}")) for side in ("b", "d")]
-    fits = (ways[0] == F.size("pairs")) & (ways[1] == F.size("pairs"))
-    exact = F.forall("pairs", lambda p: p["b"] == p["d"])
-    best = F.max(F.struct("windows", exact.alias("exact"), (-F.col("start")).alias("back"), "n", "end")).alias("best")
-    return runs.where(fits).groupBy("doc_id", "row", "item_id").agg(best).select(
+        F.max("n").alias("n"), F.array_sort(F.collect_set(F.struct("item_pos", "start", "end", "item_slots", "slots"))).alias("met"))
+    names = ["doc_id", "row", "item_id", "n"]
+    kinds = ", ".join(f"{n} {runs.schema[n].dataType.simpleString()}" for n in names)
+    runs = runs.select(*names, "met").mapInArrow(_judge(partial, names), f"{kinds}, {_RUNS}")
+    best = F.max(F.struct("windows", "exact", (-F.col("start")).alias("back"), "n", "end")).alias("best")
+    return runs.groupBy("doc_id", "row", "item_id").agg(best).select(
         "doc_id", "row", "item_id", F.col("best.windows").alias("windows"),
         F.least(F.lit(1.0), F.col("best.windows") / F.greatest(F.lit(1), F.col("best.n"))).alias("coverage"), F.col("best.exact").alias("exact"),
         (-F.col("best.back")).alias("start"), F.col("best.end").alias("end"))
@@ -228,7 +290,7 @@ def _sizes(known: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     return benchmark.select("text").mapInArrow(run, "s bigint").distinct()
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, partial: bool = False) -> DataFrame:
     """``docs`` without the rows that ``matches`` finds; all columns are kept."""
-    gone = written(matches(docs, benchmark, window).select("row").distinct())
+    gone = written(matches(docs, benchmark, window, partial).select("row").distinct())
     return without_rows(docs, gone, gone.count())

@@ -35,7 +35,7 @@ def op1_quality(spark, folder):
 @query("op2_decontaminate")
 def op2_decontaminate(spark, folder):
     """Contaminated documents, one row per benchmark item found in them."""
-    found = decontaminate.matches(documents(spark, folder), readers.table(spark, folder, "benchmark"))
+    found = decontaminate.matches(documents(spark, folder), readers.table(spark, folder, "benchmark"), partial=True)
     return found.drop("row")
 
 

@@ -134,6 +134,29 @@ def test_slots_must_be_consistent(spark):
     assert [r.doc_id for r in decontaminate.matches(table(spark, rows), benchmark).collect()] == [1]
 
 
+def test_best_run_by_enumeration():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        windows = [[(int(b), int(d)) for b, d in rng.integers(0, 3, (rng.integers(0, 3), 2))] for _ in range(6)]
+        flat = lambda lo, hi: [p for w in windows[lo:hi] for p in w]
+        whole = decontaminate.consistent(flat(0, 6))
+        equal = sum(all(b == d for b, d in w) for w in windows)
+        longest = max([0] + [hi - lo for lo in range(6) for hi in range(lo + 1, 7) if decontaminate.consistent(flat(lo, hi))])
+        got, strict = decontaminate.best_run(windows, True), decontaminate.best_run(windows, False)
+        assert (got[2] if got else 0) == max(longest, equal) and (strict is not None) == whole
+
+
+def test_verbatim_part_before_a_clash(spark):
+    """A long verbatim passage counts though a number after it was changed; the pipeline drops the document."""
+    item = "alpha buys 3 pears and then alpha sells 3 pears again so that nobody keeps 4 of them"
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(2, item.replace("3 pears and", "5 pears and")), (3, item.replace("4", "3")), (4, prose(9, 40))]
+    got = {r.doc_id: r for r in decontaminate.matches(table(spark, rows), benchmark, partial=True).collect()}
+    assert set(got) == {2, 3} and got[2].exact and got[3].exact
+    assert rows[0][1][got[2].start: got[2].end].startswith("pears and then") and rows[1][1][got[3].start: got[3].end].endswith("keeps")
+    assert [r.doc_id for r in decontaminate.clean(table(spark, rows), benchmark, partial=True).collect()] == [4]
+
+
 def test_items_of_mostly_numbers(spark):
     """They are found as they are, and not with other numbers; also with windows below 13."""
     items = ["What is 12 + 30 * 4?", "Row 1 2 3 4 then 5 6 7 8 then 9 10 11 12 ends 13 14 15 16"]
