@@ -1,7 +1,8 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
-Texts become templates: lower-cased words, where a number, a unit after a number and a name
-inside a sentence are typed placeholders. Windows of templates are hash-joined between
+Texts become templates: lower-cased words, where a number in digits or words, a unit after a number
+and a name are typed placeholders. There are three readings of a text: without names, with names inside
+sentences, and with capitalised first words of sentences too, unless they are function words. Windows of templates are hash-joined between
 documents and benchmark, with the values instead of the placeholders where placeholders are half of
 a window or more, so that tables and sums are found as they are; matches that lie on one diagonal of (document, item) are an alignment.
 It counts if its slots are consistent: equal benchmark values have equal document values and
@@ -31,6 +32,29 @@ UNITS = (
     "ml l liter liters litre litres gallon gallons cup cups percent degrees dollar dollars cent cents "
     "euro euros usd eur mph kmh hz khz mhz w kw kwh v j kj cal kcal"
 ).split()
+#: Number words of English, German, French and Spanish, without those that mean another thing in one of them.
+NUMBERS = {
+    w: n for line in (
+        "0 zero", "1 one", "2 two zwei deux dos", "3 three drei trois tres", "4 four vier quatre cuatro", "5 five fünf cinq cinco",
+        "6 six sechs seis", "7 seven sieben siete", "8 eight acht huit ocho", "9 nine neun neuf nueve", "10 ten zehn dix diez",
+        "11 eleven onze", "12 twelve zwölf douze doce", "13 thirteen dreizehn treize trece", "14 fourteen vierzehn quatorze catorce",
+        "15 fifteen fünfzehn quinze quince", "16 sixteen sechzehn", "17 seventeen siebzehn", "18 eighteen achtzehn", "19 nineteen neunzehn",
+        "20 twenty zwanzig vingt veinte", "30 thirty dreißig trente treinta", "40 forty vierzig quarante cuarenta",
+        "50 fifty fünfzig cinquante cincuenta", "60 sixty sechzig soixante sesenta", "70 seventy siebzig setenta",
+        "80 eighty achtzig ochenta", "90 ninety neunzig noventa", "100 hundred hundert cien", "1000 thousand tausend", "1000000 million")
+    for n, *words in [line.split()] for w in words}
+#: Words that start sentences and are no names, in the same languages.
+FUNCTION_WORDS = (
+    "the a an this that these those he she it we they you i his her its our their your my there here if in on at of for from to by with as "
+    "and or but so not no yes then when where while what which who whose why how after before since until because although though however "
+    "is are was were be do does did has have had can could would should may might must will shall each every all both some any many much "
+    "more most another other one "
+    "der die das den dem des ein eine einer er sie es wir ihr ich und oder aber wenn in im am auf an zu mit von für wie was wer wo nach "
+    "le la les un une des du de il elle on nous vous ils elles je ce cette ces et ou mais si dans en sur pour par avec comment quand "
+    "el los las una unos él ella nosotros ellos yo este esta y o pero si en con por para como cuando qué"
+).split()
+#: Readings of a text: names off, names inside sentences, names also at the start of sentences.
+READINGS = (0, 1, 2)
 _NUMBER, _UNIT, _NAME = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3))
 
 
@@ -41,48 +65,62 @@ class Templates:
         self.reader = W.Reader(W.byte_classes(joined=False))
         units = self.reader.read(W.strings(pa.array([" ".join(UNITS)])))
         self.units = np.sort(units.hash)
+        hashes = lambda words: self.reader.read(W.strings(pa.array([" ".join(words)]))).hash
+        spoken, digits = hashes(NUMBERS), hashes(NUMBERS.values())
+        order = np.argsort(spoken)
+        self.spoken, self.digits = spoken[order], digits[order]
+        self.function = np.unique(hashes(FUNCTION_WORDS))
         self.stops = np.zeros(256, np.int64)
         self.stops[[ord(c) for c in ".!?:;\n\""]] = 1
 
-    def read(self, column: pa.Array, names: bool) -> dict[str, np.ndarray]:
+    def read(self, column: pa.Array, reading: int, w: W.Words | None = None) -> dict[str, np.ndarray]:
         """Canonical tokens of a block: row, hash, slot (0 literal), value, start and end byte.
-        With ``names`` off, names are ordinary words, for texts that are all in one case."""
+        Without names, they are ordinary words, for texts that are all in one case. ``w`` are the
+        block's folded words, if they are there already."""
         data, _ = W.raw(column)
-        w = self.reader.read(W.folded(column))
+        w = self.reader.read(W.folded(column)) if w is None else w
         n = len(w)
         if n == 0:
             none = np.zeros(0, np.int64)
             return dict(doc=none, hash=none.astype(np.uint64), slot=none, value=none.astype(np.uint64),
                         start=none, end=none, first=np.zeros(w.rows + 1, np.int64))
         head = data[w.start]
-        number = (head >= ord("0")) & (head <= ord("9"))
+        digit = (head >= ord("0")) & (head <= ord("9"))
+        at = np.minimum(np.searchsorted(self.spoken, w.hash), len(self.spoken) - 1)
+        spoken = self.spoken[at] == w.hash
+        hashes = np.where(spoken, self.digits[at], w.hash)
+        number = digit | spoken
         before = np.concatenate([[False], w.doc[1:] == w.doc[:-1]])
         gap = np.where(before, w.start - np.concatenate([[0], w.end[:-1]]), 99)
         between = data[np.maximum(w.start - 1, 0)]
         after = np.concatenate([[False], number[:-1]]) & before
-        joined = number & after & (gap == 1) & ((between == ord(".")) | (between == ord(",")))
+        joined = digit & np.concatenate([[False], digit[:-1]]) & before & (gap == 1) & ((between == ord(".")) | (between == ord(",")))
+        joined |= spoken & np.concatenate([[False], spoken[:-1]]) & before & (gap == 1) & ((between == ord(" ")) | (between == ord("-")))
         near = (gap == 0) | ((gap == 1) & (between == ord(" ")))
         at = np.minimum(np.searchsorted(self.units, w.hash), len(self.units) - 1)
         unit = ~number & after & near & (self.units[at] == w.hash)
         slot = np.where(number, 1, np.where(unit, 2, 0))
         drop = joined
-        if names:
+        if reading:
             second = data[np.minimum(w.start + 1, len(data) - 1)]
             upper = (head >= ord("A")) & (head <= ord("Z")) & (second >= ord("a")) & (second <= ord("z")) | (
                 (head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
             ends = np.concatenate([[0], np.cumsum(self.stops[data])])
             inner = before & (ends[w.start] == ends[np.concatenate([[0], w.end[:-1]])])
+            if reading == 2:
+                k = np.minimum(np.searchsorted(self.function, w.hash), len(self.function) - 1)
+                inner |= self.function[k] != w.hash
             name = upper & inner & (w.end - w.start > 1) & (slot == 0)
             slot = np.where(name, 3, slot)
             more = name & np.concatenate([[False], name[:-1]]) & (gap == 1)
             drop = drop | more
         keep = np.flatnonzero(~drop)
         last = np.append(keep[1:], n) - 1
-        value = w.hash[keep]
+        value = hashes[keep]
         with np.errstate(over="ignore"):
             for k in np.flatnonzero(last > keep):  # numbers and names of several parts
                 for j in range(keep[k] + 1, last[k] + 1):
-                    value[k] = W.mix(value[k: k + 1] * np.uint64(W.MULTIPLIER) + w.hash[j: j + 1])[0]
+                    value[k] = W.mix(value[k: k + 1] * np.uint64(W.MULTIPLIER) + hashes[j: j + 1])[0]
         slot = slot[keep]
         code = np.choose(slot, [value, _NUMBER, _UNIT, _NAME])
         doc = w.doc[keep]
@@ -116,7 +154,7 @@ def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h >> shift, W.mix(h) >> shift
 
 
-_HITS = "row bigint, names boolean, pos bigint, hash bigint, slots array<bigint>, start bigint, end bigint"
+_HITS = "row bigint, reading int, pos bigint, hash bigint, slots array<bigint>, start bigint, end bigint"
 
 
 def _finder(sizes: list[int], field: np.ndarray | None, key: str, window: int):
@@ -130,8 +168,9 @@ def _finder(sizes: list[int], field: np.ndarray | None, key: str, window: int):
                 part = texts.slice(lo, hi - lo)
                 data, offsets = W.raw(part)
                 points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                for names in (True, False):
-                    t = templates.read(part, names)
+                words = templates.reader.read(W.folded(part))
+                for reading in READINGS:
+                    t = templates.read(part, reading, words)
                     total = np.diff(t["first"])
                     for size in sizes:
                         at, h = windows_of(t, size)
@@ -149,11 +188,11 @@ def _finder(sizes: list[int], field: np.ndarray | None, key: str, window: int):
                         base = points[offsets[:-1]][doc]
                         take = pa.array(lo + doc)
                         yield pa.RecordBatch.from_arrays(
-                            [ids.take(take), rows.take(take), pa.array(np.full(len(at), names)),
+                            [ids.take(take), rows.take(take), pa.array(np.full(len(at), reading, np.int32)),
                              pa.array(at - t["first"][doc]), pa.array(h.view(np.int64)),
                              pa.array(_slots(t, at, size), pa.list_(pa.int64())),
                              pa.array(points[t["start"][at]] - base), pa.array(points[t["end"][at + size - 1]] - base)],
-                            names=[key, "row", "names", "pos", "hash", "slots", "start", "end"])
+                            names=[key, "row", "reading", "pos", "hash", "slots", "start", "end"])
     return run
 
 
@@ -256,17 +295,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, partial
     sizes = list(range(min(SHORTEST, window), window + 1))
     found = _windows(benchmark, "item_id", sizes, window)
     items = found.groupBy("item_id", "row").agg(
-        F.count_if("names").alias("n"),
-        F.sum(F.xxhash64("names", "pos", "hash", "slots").cast("decimal(38,0)")).alias("print"))
+        F.array([F.count_if(F.col("reading") == r) for r in READINGS]).alias("n"),
+        F.sum(F.xxhash64("reading", "pos", "hash", "slots").cast("decimal(38,0)")).alias("print"))
     items = items.groupBy("print", "n").agg(F.min(F.struct("item_id", "row")).alias("item")).select("item.*", "n")
     known = written(found.join(items, ["item_id", "row"]).drop("row").withColumnsRenamed(
         {"pos": "item_pos", "slots": "item_slots"}).drop("start", "end"))
     used = sorted(r["s"] for r in _sizes(known, benchmark, window).collect())
     hits = _windows(docs, "doc_id", used, window, _field(known))
-    met = hits.join(known.dropDuplicates(["item_id", "names", "item_pos", "hash"]), ["hash", "names"])
-    place = ["doc_id", "row", "item_id", "names", F.col("pos") - F.col("item_pos")]
+    met = hits.join(known.dropDuplicates(["item_id", "reading", "item_pos", "hash"]), ["hash", "reading"])
+    place = ["doc_id", "row", "item_id", "reading", F.col("pos") - F.col("item_pos")]
     runs = met.groupBy(*place[:-1], place[-1].alias("diagonal")).agg(
-        F.max("n").alias("n"), F.array_sort(F.collect_set(F.struct("item_pos", "start", "end", "item_slots", "slots"))).alias("met"))
+        F.max(F.col("n")[F.col("reading")]).alias("n"), F.array_sort(F.collect_set(F.struct("item_pos", "start", "end", "item_slots", "slots"))).alias("met"))
     names = ["doc_id", "row", "item_id", "n"]
     kinds = ", ".join(f"{n} {runs.schema[n].dataType.simpleString()}" for n in names)
     runs = runs.select(*names, "met").mapInArrow(_judge(partial, names), f"{kinds}, {_RUNS}")
@@ -284,8 +323,8 @@ def _sizes(known: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             texts = W.strings(batch.column("text"))
             for lo, hi in W.blocks(texts):
-                sizes = {min(int(n), window) for names in (True, False)
-                         for n in np.diff(templates.read(texts.slice(lo, hi - lo), names)["first"]) if n >= min(SHORTEST, window)}
+                sizes = {min(int(n), window) for reading in READINGS
+                         for n in np.diff(templates.read(texts.slice(lo, hi - lo), reading)["first"]) if n >= min(SHORTEST, window)}
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(sizes), pa.int64())], names=["s"])
     return benchmark.select("text").mapInArrow(run, "s bigint").distinct()
 

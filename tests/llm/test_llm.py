@@ -134,6 +134,15 @@ def test_slots_must_be_consistent(spark):
     assert [r.doc_id for r in decontaminate.matches(table(spark, rows), benchmark).collect()] == [1]
 
 
+def test_names_that_start_sentences_and_number_words(spark):
+    item = "Tom has five apples and two baskets. Tom gives twenty-five kg of them away. How many apples does Tom keep?"
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    other = item.replace("Tom", "Mary").replace("five", "seven").replace("two", "9").replace("twenty-seven", "three hundred")
+    rows = [(1, item), (2, other), (3, item.replace("five apples", "5 apples")), (4, item.upper()), (5, item.replace("apples", "walks").replace("gives", "sits").replace("many", "far"))]
+    got = {r.doc_id: r.exact for r in decontaminate.matches(table(spark, rows), benchmark).collect()}
+    assert got == {1: True, 2: False, 3: True, 4: True}
+
+
 def test_best_run_by_enumeration():
     rng = np.random.default_rng(6)
     for _ in range(300):
