@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, functions as F
 
 from postlens.llm import (
-    decontaminate, langid, lengths, licenses, mixing, near_dedup, quality, secrets, spotsigs, token_files,
+    decontaminate, langid, lengths, licenses, manifest, mixing, near_dedup, quality, secrets, spotsigs, token_files,
 )
 from postlens.plans.registry import query
 from postlens.sources import readers
@@ -126,3 +126,79 @@ def op10_secrets(spark, folder):
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(secrets.digest(F.col("base")), 256).alias("base_sha256"), secrets.digest(every).alias("spans"),
         F.size("extra").cast("bigint").alias("n_markov"))
+
+
+#: Unsigned CRC-32 of an ASCII text. DuckDB has none; the table of bytes is made by its rule.
+CRC32 = """crc_bits AS (WITH RECURSIVE t(byte, x, k) AS (
+    SELECT b, b, 0 FROM range(256) r(b)
+    UNION ALL SELECT byte, CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, k + 1 FROM t WHERE k < 8)
+    SELECT list(x ORDER BY byte) AS entries FROM t WHERE k = 8)"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the checksum of an expression, in a query from the table crc_bits of CRC32, among others."""
+    bytes_ = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), {step}), 4294967295)"
+
+
+def _encoded_sql(name: str, value: str | None = None) -> str:
+    value = value or f"{name}::VARCHAR"
+    return f"coalesce(strlen({value})::VARCHAR || ':' || {value}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [_encoded_sql(c, text if c == "text" else None) for c in manifest.COLUMNS]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """Tables {name}_1 ... of a tree over {name}_0 (tree, position, n, digest). Trees that are
+    finished stay as they are, so a fixed number of levels serves all smaller trees."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}_{k + 1} AS (SELECT tree, position // 3 AS position, (max(n) + 2) // 3 AS n,
+    max(digest) FILTER (position % 3 = 0) AS c0, max(digest) FILTER (position % 3 = 1) AS c1, max(digest) FILTER (position % 3 = 2) AS c2,
+    CASE WHEN max(n) = 1 THEN max(digest) ELSE sha256(string_agg(digest, '' ORDER BY position)) END AS digest, max(n) > 1 AS hashed
+    FROM {name}_{k} GROUP BY tree, position // 3)""")
+    return ",\n".join(out)
+
+
+def _proof_sql(name: str, levels: int, base: str, folded: str) -> str:
+    """Tables {base}_p0 ... that follow each row of {base} (tree, position, steps, folded) up its tree."""
+    out = [f"{base}_p0 AS (SELECT *, '' AS siblings, {folded} AS fold FROM {base})"]
+    for k in range(levels):
+        slot = f"(b.position // {3 ** k}) % 3"
+        left = f"(CASE WHEN {slot} > 0 THEN t.c0 ELSE '' END || CASE WHEN {slot} > 1 THEN t.c1 ELSE '' END)"
+        right = f"(CASE WHEN {slot} < 1 THEN coalesce(t.c1, '') ELSE '' END || CASE WHEN {slot} < 2 THEN coalesce(t.c2, '') ELSE '' END)"
+        out.append(f"""{base}_p{k + 1} AS (SELECT b.* REPLACE (
+    b.siblings || CASE WHEN t.hashed THEN {left} || {right} ELSE '' END AS siblings,
+    CASE WHEN t.hashed THEN sha256({left} || b.fold || {right}) ELSE b.fold END AS fold)
+    FROM {base}_p{k} b JOIN {name}_{k + 1} t ON t.tree = b.tree AND t.position = b.position // {3 ** (k + 1)})""")
+    return ",\n".join(out)
+
+
+#: Levels of the SQL: sources of up to 3^12 documents, and up to 3^8 sources.
+LEAF_LEVELS, ROOT_LEVELS = 12, 8
+MANIFEST = f"""WITH {CRC32}, hashed AS MATERIALIZED (
+    SELECT coalesce('=' || source, '') AS tree, doc_id, {_leaf_sql('text')} AS digest,
+    {_leaf_sql(f"CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS found FROM documents, crc_bits),
+a_0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS position,
+    count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+{_tree_sql('a', LEAF_LEVELS)},
+b_0 AS (SELECT '' AS tree, tree AS source, digest, row_number() OVER (ORDER BY tree) - 1 AS position, count(*) OVER () AS n
+    FROM a_{LEAF_LEVELS}),
+{_tree_sql('b', ROOT_LEVELS)},
+{_proof_sql('a', LEAF_LEVELS, 'a_0', 'found')},
+joined AS (SELECT p.doc_id, p.digest AS leaf, p.siblings AS below, p.fold AS found, b_0.digest AS subroot, b_0.tree, b_0.position
+    FROM a_0_p{LEAF_LEVELS} p JOIN b_0 ON b_0.source = p.tree),
+{_proof_sql('b', ROOT_LEVELS, 'joined', 'found')}
+SELECT doc_id, leaf, subroot, root, sha256(below || siblings) AS proof_sha256, fold AS folded_root, fold = root AS verified
+FROM joined_p{ROOT_LEVELS}, (SELECT digest AS root FROM b_{ROOT_LEVELS})"""
+
+
+@query("op11_manifest", MANIFEST)
+def op11_manifest(spark, folder):
+    """Leaf, roots and proof of every document, and whether the possibly tampered text still verifies."""
+    return manifest.manifest(documents(spark, folder)).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
