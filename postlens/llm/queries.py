@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, functions as F
 
 from postlens.llm import (
-    decontaminate, langid, lengths, licenses, manifest, mixing, near_dedup, quality, secrets, spotsigs, token_files,
+    conversations, decontaminate, langid, lengths, licenses, manifest, mixing, near_dedup, quality,
+    secrets, spotsigs, token_files, vector_dedup,
 )
 from postlens.plans.registry import query
 from postlens.sources import readers
@@ -202,3 +203,88 @@ def op11_manifest(spark, folder):
     """Leaf, roots and proof of every document, and whether the possibly tampered text still verifies."""
     return manifest.manifest(documents(spark, folder)).select(
         "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _repair_sql() -> str:
+    """Cheapest edits from the last row to the first. A value is its cost in nine digits and its
+    edits, so the least text is the cheapest, and of equal cost the least in ASCII order."""
+    def add(value, cost, edit):
+        return f"(lpad((left({value}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || '{edit}' || substr({value}, 10))"
+
+    def rows(state):
+        keep = {"s": "v1" if state == 0 else None, "u": None if state == 2 else "v2", "a": "v3" if state == 2 else None}
+        kept = " ".join(f"WHEN ini = '{r}' THEN {add(v, 'cut', 'K')}" for r, v in keep.items() if v)
+        turn = add("v3" if state == 2 else "v2", "1 + cut", "R")
+        return (f"least({add(f'v{state}', 2, 'D')}, CASE WHEN fault IN ('b', 'd') THEN 'x' {kept} ELSE 'x' END, "
+                f"CASE WHEN fault IN ('b', 'd') THEN 'x' ELSE {turn} END) AS w{state}")
+
+    more = {2: "w3", 3: "w2"}
+    full = ", ".join(f"least(w{q}, {add(w, 5, 'I')}) AS v{q}" for q, w in more.items())
+    first = ", ".join(f"least(w{q}, {add('v2', 5, 'I')}) AS v{q}" for q in (0, 1))
+    return f"""WITH RECURSIVE {CRC32}, drawn AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS draw FROM conversations, crc_bits),
+damaged AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE draw WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM drawn),
+placed AS (SELECT *, left(role, 1) AS ini,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos FROM damaged),
+judged AS MATERIALIZED (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 't' ELSE '' END AS fault,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY pos) || ini AS pair FROM placed),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+facts AS (SELECT i.conv_id, coalesce(n, 0) AS n, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal
+    FROM ids i LEFT JOIN (SELECT conv_id, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+        count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+        count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM judged GROUP BY conv_id) j ON j.conv_id IS NOT DISTINCT FROM i.conv_id),
+best AS (
+    SELECT conv_id, n AS pos, '000000000' AS v0, '000000010II' AS v1, '000000005I' AS v2, '000000000' AS v3 FROM facts
+    UNION ALL
+    SELECT conv_id, pos - 1, {first}, v2, v3 FROM (
+        SELECT conv_id, pos, w0, w1, {full} FROM (
+            SELECT b.conv_id, b.pos, {", ".join(rows(q) for q in range(4))}
+            FROM (SELECT b.*, j.ini, j.fault, CASE WHEN j.fault = 't' THEN 5 ELSE 0 END AS cut FROM best b
+                JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.pos = b.pos) b))),
+audited AS MATERIALIZED (SELECT conv_id, left(v0, 9)::BIGINT AS cost, substr(v0, 10) AS audit FROM best WHERE pos = 0),
+walk AS (
+    SELECT conv_id, audit, 0 AS step, 0 AS pos, '' AS state, '' AS repaired, false AS started FROM audited
+    UNION ALL
+    SELECT conv_id, audit, step + 1, pos, CASE WHEN edit = 'D' THEN state ELSE left(new_role, 1) END,
+        CASE WHEN edit = 'D' THEN repaired ELSE repaired || CASE WHEN started THEN chr(10) ELSE '' END || new_role || ':' || new_text END,
+        started OR edit <> 'D'
+    FROM (SELECT w.conv_id, w.audit, w.step, w.state, w.repaired, w.started, w.edit, w.pos,
+            CASE WHEN edit = 'K' THEN j.role WHEN w.state = 'u' THEN 'assistant' ELSE 'user' END AS new_role,
+            CASE WHEN edit = 'I' THEN '' ELSE j.text END AS new_text
+        FROM (SELECT conv_id, audit, step, state, repaired, started, substr(audit, step + 1, 1) AS edit,
+                pos + CASE WHEN substr(audit, step + 1, 1) = 'I' THEN 0 ELSE 1 END AS pos FROM walk WHERE step < length(audit)) w
+        LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.pos = w.pos))
+SELECT f.conv_id, gaps, blank, duplicate, truncated, illegal, cost, a.audit, sha256(repaired) AS repaired_sha256
+FROM facts f JOIN audited a ON a.conv_id IS NOT DISTINCT FROM f.conv_id
+JOIN (SELECT * FROM walk WHERE step = length(audit)) w ON w.conv_id IS NOT DISTINCT FROM f.conv_id"""
+
+
+@query("op12_conversations", _repair_sql())
+def op12_conversations(spark, folder):
+    """Faults of every damaged conversation, the cheapest repair, and the digest of the repaired text."""
+    return conversations.repair(readers.table(spark, folder, "conversations"))
+
+
+COSINES = f"""WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS z FROM embeddings),
+sound AS (SELECT r, vec_id, z, sqrt(list_dot_product(z, z)) AS norm FROM v WHERE z IS NOT NULL
+    AND len(list_filter(z, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(z, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.r AS a, b.r AS b, b.vec_id FROM sound a JOIN sound b ON a.r <> b.r AND len(a.z) = len(b.z)
+    AND list_dot_product(a.z, b.z) / (a.norm * b.norm) >= {vector_dedup.COSINE}),
+reach AS (SELECT r, r AS seen FROM v UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.seen),
+least AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.seen GROUP BY reach.r),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(v.vec_id = component_id, false) AS kept
+FROM v JOIN least USING (r) LEFT JOIN counts ON counts.a = v.r"""
+
+
+@query("op13_vector_duplicates", COSINES)
+def op13_vector_duplicates(spark, folder):
+    """Links, component and representative of every vector at a cosine of 0.95."""
+    return vector_dedup.near_duplicates(readers.table(spark, folder, "embeddings"))
