@@ -111,15 +111,23 @@ def split(df: DataFrame, block_rows: int | None = None, max_cells: int = MAX_CEL
 
 
 def pack(df: DataFrame, extra: str | None = None) -> DataFrame:
-    """One row per block: (block, cell, ids, vectors, extra, kind, n, dim) with packed numbers."""
-    kind = "int64" if extra is None or df.schema[extra].dataType.typeName() in ("integer", "long") else "float64"
+    """One row per block: (block, cell, ids, vectors, extra, kind, n, dim) with packed numbers.
+
+    ``extra`` is a number or an array of whole numbers of the same length in each row.
+    """
+    listed = extra is not None and df.schema[extra].dataType.typeName() == "array"
+    whole = extra is None or listed or df.schema[extra].dataType.typeName() in ("integer", "long")
+    kind = "int64" if whole else "float64"
 
     def one(frame):
         import pandas as pd
 
         frame = frame.sort_values("vec_id")
         z = np.array(frame["z"].tolist(), dtype="float64")
-        extra_values = frame[extra].to_numpy(kind) if extra else np.zeros(len(frame), "int64")
+        if listed:
+            extra_values = np.array(frame[extra].tolist(), kind)
+        else:
+            extra_values = frame[extra].to_numpy(kind) if extra else np.zeros(len(frame), "int64")
         return pd.DataFrame([{
             "block": int(frame["block"].iloc[0]), "cell": int(frame["cell"].iloc[0]),
             "ids": frame["vec_id"].to_numpy("int64").tobytes(), "vectors": z.tobytes(),

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from postlens.functions import text as tx
-from postlens.operators import codepoints, stats, timeseries, tokens as tok
+from postlens.operators import codepoints, grids, stats, timeseries, tokens as tok, vectors
 from postlens.operators.joins import lookup_join
 from postlens.plans import sql_views as v
 from postlens.plans.registry import query
@@ -118,8 +118,8 @@ def cluster_sizes(spark, folder):
     return stats.value_counts(_labels(spark, folder), "cluster").orderBy(F.desc("n"), "cluster")
 
 
-@query("cluster_sizes_wide", """SELECT * FROM (PIVOT (SELECT 'c' || label AS name, count(*) AS n FROM embeddings
-GROUP BY label) ON name USING sum(n)::BIGINT)""")
+@query("cluster_sizes_wide", "SELECT " + ", ".join(
+    f"count(*) FILTER (label = {c}) AS c{c}" for c in range(10)) + " FROM embeddings")
 def cluster_sizes_wide(spark, folder):
     return stats.wide_counts(stats.value_counts(_labels(spark, folder), "cluster"), "cluster")
 
@@ -171,18 +171,47 @@ def pick_model_nth(spark, folder):
     return stats.pick_by_nth_largest(_grid_sizes(spark, folder), ["d", "m"], nth=6, at_least=40)
 
 
-@query("score_table", """WITH s AS (SELECT d, m AS k, round(avg(embedding[d]::DOUBLE), 9) AS silhouette,
-round(avg(abs(embedding[m]::DOUBLE)), 9) AS db FROM embeddings, (VALUES """ + _PAIRS + """) AS p(d, m) GROUP BY d, m)
+#: Dimensions and cluster numbers of the scored labellings, which are derived from the labels.
+SCORE_DIMS, SCORE_KS = (2, 5, 6, 8), (4, 5, 6, 7, 9)
+_SCORES = "scored AS (" + " UNION ALL ".join(f"""SELECT {d} AS d, k, silhouette, db FROM (
+WITH v AS MATERIALIZED (SELECT vec_id, label, embedding[1:{d}]::DOUBLE[] AS z FROM embeddings),
+c AS (SELECT k, vec_id, (own * 3 + vec_id % 2) % k AS own, (label * 3 + other % 2) % k AS label, avg(dist) AS m
+    FROM (SELECT a.vec_id, b.vec_id AS other, a.label AS own, b.label, list_distance(a.z, b.z) AS dist FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+    (SELECT unnest({list(SCORE_KS)}) AS k) GROUP BY k, vec_id, 3, 4),
+s AS (SELECT k, vec_id, max(m) FILTER (own = label) AS a, min(m) FILTER (own <> label) AS b FROM c GROUP BY k, vec_id),
+t AS (SELECT k, avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM s GROUP BY k),
+g AS (SELECT k, (label * 3 + vec_id % 2) % k AS label, z FROM v, (SELECT unnest({list(SCORE_KS)}) AS k)),
+p AS (SELECT k, label, generate_subscripts(z, 1) AS i, unnest(z) AS x FROM g),
+mean AS (SELECT k, label, i, avg(x) AS x FROM p GROUP BY k, label, i),
+centre AS (SELECT k, label, list(x ORDER BY i) AS centre FROM mean GROUP BY k, label),
+spread AS (SELECT k, label, any_value(centre) AS centre, avg(list_distance(z, centre)) AS s FROM g JOIN centre USING (k, label) GROUP BY k, label),
+r AS (SELECT a.k, a.label, max((a.s + b.s) / list_distance(a.centre, b.centre)) AS worst FROM spread a JOIN spread b ON a.k = b.k AND a.label <> b.label GROUP BY a.k, a.label)
+SELECT t.k, silhouette, db FROM t JOIN (SELECT k, avg(worst) AS db FROM r GROUP BY k) USING (k))""" for d in SCORE_DIMS) + ")"
+
+
+def _given_scores(spark, folder):
+    """Silhouette and Davies-Bouldin index of given labellings in the first components."""
+    rows = readers.table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    labels = F.array(*[((F.col("label") * 3 + F.col("vec_id") % 2) % k).cast("int") for k in SCORE_KS])
+    out = None
+    for d in SCORE_DIMS:
+        z = F.transform(F.slice("embedding", 1, d), lambda x: x.cast("double"))
+        names = spark.createDataFrame([(g, d, k) for g, k in enumerate(SCORE_KS)], "g int, d int, k int")
+        part = grids.scores(rows.select("vec_id", z.alias("z"), labels.alias("labels")), names)
+        out = part if out is None else out.unionByName(part)
+    return out.select("d", "k", F.round("silhouette", 9).alias("silhouette"), F.round("db", 9).alias("db"))
+
+
+@query("score_grid", f"WITH {_SCORES} SELECT d, k, round(silhouette, 9) AS silhouette, round(db, 9) AS db FROM scored")
+def score_grid(spark, folder):
+    return _given_scores(spark, folder)
+
+
+@query("score_table", f"""WITH {_SCORES}, s AS (SELECT d, k, round(silhouette, 9) AS silhouette, round(db, 9) AS db FROM scored)
 (SELECT 'silhouette' AS metric, d, k, silhouette AS value FROM s ORDER BY silhouette DESC, d, k LIMIT 1)
 UNION ALL (SELECT 'davies_bouldin', d, k, db FROM s ORDER BY db, d, k LIMIT 1)""")
 def score_table(spark, folder):
-    pairs = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(m).alias("k")) for d, m in GRID])
-    rows = readers.table(spark, folder, "embeddings").select("embedding", F.explode(pairs).alias("p"))
-    scores = rows.groupBy("p.d", "p.k").agg(
-        F.round(F.avg(F.get("embedding", F.col("p.d") - 1).cast("double")), 9).alias("silhouette"),
-        F.round(F.avg(F.abs(F.get("embedding", F.col("p.k") - 1).cast("double"))), 9).alias("db"),
-    )
-    return stats.best_scores(scores)
+    return stats.best_scores(_given_scores(spark, folder))
 
 
 # -- joining results back -----------------------------------------------------------------------
@@ -206,15 +235,17 @@ def attach_cluster_text(spark, folder):
 
 
 @query("assemble_result", "SELECT vec_id, label AS cluster, " + ", ".join(
-    f"CAST(embedding[{i + 1}] AS DOUBLE) AS z{i}" for i in range(5)) + """,
-CAST(embedding[6] AS DOUBLE) AS x, CAST(embedding[7] AS DOUBLE) AS y FROM embeddings""")
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS z{i}" for i in range(64)) + ", " + ", ".join(
+    "round((" + " + ".join(f"{int(s)} * embedding[{i + 1}]::DOUBLE" for i, s in enumerate(row)) + f") / sqrt(2), 6) + 0.0::DOUBLE AS {name}"
+    for name, row in zip("xy", vectors.projection_signs(64, 2))) + " FROM embeddings")
 def assemble_result(spark, folder):
-    rows = readers.table(spark, folder, "embeddings")
-    def cells(names, first):
-        return [F.get("embedding", F.lit(first + i)).cast("double").alias(n) for i, n in enumerate(names)]
-    z = rows.select("vec_id", *cells([f"z{i}" for i in range(5)], 0))
-    xy = rows.select("vec_id", *cells(["x", "y"], 5))
-    return _labels(spark, folder).join(z, "vec_id").join(xy, "vec_id")
+    """Labels beside all components of the vectors and their place in the plane."""
+    z = F.transform("embedding", lambda x: x.cast("double"))
+    rows = readers.table(spark, folder, "embeddings").select("vec_id", z.alias("z"))
+    plane = vectors.random_projection(rows, 64, 2)
+    xy = [(F.round(F.get("z", F.lit(i)), 6) + 0.0).alias(name) for i, name in enumerate("xy")]
+    return _labels(spark, folder).join(rows.select("vec_id", *vectors.columns("z", 64)), "vec_id").join(
+        plane.select("vec_id", *xy), "vec_id")
 
 
 @query("reconcile_keys", f"""WITH {v.CHUNKS}, {_CLUSTERED}, u AS (

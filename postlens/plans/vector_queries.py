@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postlens.functions import text as tx, tokens as tk
-from postlens.operators import density, features, layout, models, neighbours, spanning, tokens as tok, vectors
+from postlens.operators import density, features, grids, layout, models, neighbours, spanning, tokens as tok, vectors
 from postlens.plans import sql_views as v
 from postlens.plans.registry import query
 from postlens.plans.token_queries import CFG, _FEATURES
@@ -14,6 +14,8 @@ from postlens.sources import readers, views
 
 K = 10
 MIN_SAMPLES = 5
+#: Factor of the density term that was tried.
+DENSITY = 4.0
 
 
 def _vectors(spark, folder):
@@ -274,34 +276,83 @@ def _reduced(spark, folder, dims):
     return {d: vectors.random_projection(rows, 64, d) for d in dims}
 
 
+#: Dimensions, cluster numbers, minimum sizes and epsilons of the grids.
+DIMS = list(range(2, 30, 2))
+KS = list(range(4, 20))
+SIZES = list(range(5, 50, 5))
+EPSILONS = [round(0.1 * i, 1) for i in range(10)]
+
+
 @query("kmeans_grid")
 def kmeans_grid(spark, folder):
-    grid = models.kmeans_grid(_reduced(spark, folder, [4, 6]), list(range(4, 20)))
+    """Cluster sizes of k-means for every dimension and k."""
+    grid = models.kmeans_grid(_reduced(spark, folder, DIMS), KS)
     return grid.groupBy("d", "k", "cluster").agg(F.count("*").alias("n"))
 
 
+@query("kmeans_scores")
+def kmeans_scores(spark, folder):
+    """Silhouette and Davies-Bouldin index of every one of these clusterings."""
+    return models.kmeans_scores(_reduced(spark, folder, DIMS), KS)
+
+
 @query("hdbscan_grid")
 def hdbscan_grid(spark, folder):
-    grid = models.density_grid(_reduced(spark, folder, [6]), [15, 20], [0.0, 0.3], min_samples=MIN_SAMPLES)
+    """Cluster sizes for every dimension and minimum size, with one core distance for all."""
+    grid = models.density_grid(_reduced(spark, folder, DIMS), SIZES, [0.0], min_samples=MIN_SAMPLES)
     return grid.groupBy("d", "m", "eps", "status", "cluster").agg(F.count("vec_id").alias("n"))
 
 
+@query("epsilon_grid")
+def epsilon_grid(spark, folder):
+    """The two final candidates over all epsilons; the core distance follows the minimum size."""
+    parts = [models.density_grid(_reduced(spark, folder, [d]), [m], EPSILONS) for d, m in ((6, 28), (5, 20))]
+    return parts[0].unionByName(parts[1]).groupBy("d", "m", "eps", "status", "cluster").agg(F.count("vec_id").alias("n"))
+
+
 @query("stability_check", f"WITH {_PLANTED} SELECT string_agg(n, ',' ORDER BY n DESC) AS sizes, 5 AS n_runs FROM groups")
 def stability_check(spark, folder):
     rows = cut(_planted(spark, folder))
     return models.same_sizes([density.hdbscan(rows, 20, min_samples=MIN_SAMPLES, epsilon=0.3) for _ in range(5)])
 
 
+STEPS = 200
+
+
 @query("umap_layout")
 def umap_layout(spark, folder):
-    rows = layout.fit(_planted(spark, folder), dim=2, n_neighbors=K, steps=8)
+    rows = layout.fit(_planted(spark, folder), dim=2, n_neighbors=K, steps=STEPS)
     return rows.select("vec_id", F.get("z", F.lit(0)).alias("x"), F.get("z", F.lit(1)).alias("y"))
 
 
+@query("density_layout")
+def density_layout(spark, folder):
+    """Layout that also keeps how dense the surroundings of each row are, beside the radius it has to keep."""
+    rows = cut(_planted(spark, folder))
+    placed = layout.fit(rows, dim=2, n_neighbors=K, steps=STEPS, density_weight=DENSITY)
+    near = cut(neighbours.knn(rows, K))
+    pair = [F.least("vec_id", "nbr").alias("a"), F.greatest("vec_id", "nbr").alias("b")]
+    edges = neighbours.fuzzy_edges(near).join(near.groupBy(*pair).agg(F.min("dist").alias("dist")), ["a", "b"])
+    return placed.join(neighbours.local_radius(edges), "vec_id", "left").select(
+        "vec_id", F.get("z", F.lit(0)).alias("x"), F.get("z", F.lit(1)).alias("y"), "radius")
+
+
+@query("layout_new_rows")
+def layout_new_rows(spark, folder):
+    """Every fourth row placed on a layout that was fitted without it, and moved there for 100 steps."""
+    rows = cut(_planted(spark, folder))
+    held = F.pmod(F.xxhash64("vec_id"), F.lit(4)) == 0
+    fitted = rows.where(~held)
+    coords = cut(layout.fit(fitted, dim=2, n_neighbors=K, steps=STEPS))
+    placed = layout.place_new(rows.where(held), fitted, coords, K, steps=100)
+    old, new = coords.withColumn("is_new", F.lit(False)), placed.withColumn("is_new", F.lit(True))
+    return old.unionByName(new).select("vec_id", "is_new", F.get("z", F.lit(0)).alias("x"), F.get("z", F.lit(1)).alias("y"))
+
+
 @query("final_model")
 def final_model(spark, folder):
     """Layout in five dimensions, then density clusters of at least 20 rows cut at 0.3."""
-    rows = cut(layout.fit(_planted(spark, folder), dim=5, n_neighbors=K, steps=8))
+    rows = cut(layout.fit(_planted(spark, folder), dim=5, n_neighbors=K, steps=STEPS))
     labels = density.hdbscan(rows, 20, epsilon=0.3)
     return labels.join(rows, "vec_id").select("vec_id", "cluster", *vectors.columns("z", 5))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +44,11 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder and drop its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder. A checkpoint keeps the size that the optimiser guessed, and
+    guesses multiply along an iteration that joins its own results; a table has its true size."""
+    folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

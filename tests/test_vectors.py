@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postlens.operators import blocks, density, features, layout, models, neighbours, spanning, vectors
+from postlens.operators import blocks, density, features, grids, layout, models, neighbours, spanning, vectors
 
 
 def arrays(df):
@@ -240,17 +240,87 @@ def test_silhouette_does_not_depend_on_blocks(embeddings):
     assert abs(one - many) < 1e-9
 
 
-def test_layout_keeps_neighbours_together(spark):
-    df = planted(spark, 60)
-    fitted = layout.fit(df, dim=2, n_neighbors=6, steps=6)
-    ids, z = arrays(fitted)
-    assert len(ids) == 60 and np.isfinite(z).all()
-    before = brute_knn(*arrays(df), 6)
-    after = brute_knn(ids, z, 6)
-    overlap = np.mean([len(set(before[i]) & set(after[i])) / 6 for i in before])
-    assert overlap > 2 * 6 / 59
-    dense = layout.fit(df, dim=2, n_neighbors=6, steps=2, density_weight=4.0)
-    assert np.isfinite(arrays(dense)[1]).all()
+def trust(before, after, k):
+    """Share of each row's k nearest neighbours that are among its k nearest in the layout."""
+    near, placed = brute_knn(*arrays(before), k), brute_knn(*arrays(after), k)
+    return np.mean([len(set(near[i]) & set(placed[i])) / k for i in near])
+
+
+def test_full_layout_keeps_neighbours_better_than_a_short_one(spark):
+    """200 steps in blocks of 40 rows with exchanges, against 8 steps and against chance."""
+    df = planted(spark, 150, groups=4, dim=6)
+    full = layout.fit(df, dim=2, n_neighbors=8, layout_rows=40).cache()
+    short = layout.fit(df, dim=2, n_neighbors=8, steps=8, layout_rows=40)
+    ids, z = arrays(full)
+    assert len(ids) == 150 and np.isfinite(z).all()
+    assert trust(df, full, 8) > max(trust(df, short, 8), 5 * 8 / 149)
+    # new rows of a group land among the fitted rows of that group
+    new = planted(spark, 40, groups=4, dim=6, seed=9).withColumn("vec_id", F.col("vec_id") + 1000)
+    moved = layout.place_new(new, df, full, 8, steps=50)
+    group = {int(i): int(i) % 4 for i in range(2000) if i % 1000 % 13}
+    new_ids, at = arrays(moved)
+    good = [group[int(ids[np.argmin(((z - p) ** 2).sum(1))])] == group[int(i)] % 4
+            for i, p in zip(new_ids, at) if int(i) in group and int(ids[np.argmin(((z - p) ** 2).sum(1))]) in group]
+    assert len(good) > 25 and np.mean(good) > 0.9
+
+
+def test_density_term_keeps_radii(spark):
+    """With the density term, the spread around a row in the layout follows that in the input."""
+    rnd = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rnd.normal(size=4) * (0.05 if i % 2 else 3.0) + 30 * (i % 2)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, z array<double>")
+    before = np.log(np.sort(distances(arrays(df)[1]), axis=1)[:, :6].mean(axis=1))
+
+    def agreement(weight):
+        z = arrays(layout.fit(df, dim=2, n_neighbors=6, steps=60, density_weight=weight, epochs=5))[1]
+        return np.corrcoef(before, np.log(np.sort(distances(z), axis=1)[:, :6].mean(axis=1)))[0, 1]
+
+    with_term = agreement(4.0)
+    assert with_term > 0.5 and with_term > agreement(0.0)
+
+
+def test_popular_row_is_not_thrown_about(spark):
+    """One row that is everyone's neighbour belongs to every block; its moves are averaged."""
+    rnd = np.random.default_rng(5)
+    z = rnd.normal(size=(120, 8))
+    z = z / np.linalg.norm(z, axis=1)[:, None]
+    z[0] = 0.0
+    df = spark.createDataFrame([(i, [float(x) for x in z[i]]) for i in range(120)], "vec_id long, z array<double>")
+    at = arrays(layout.fit(df, dim=2, n_neighbors=5, steps=20, layout_rows=15))[1]
+    assert np.isfinite(at).all() and np.abs(at).max() < 60
+
+
+def labelled(spark, n=90):
+    rows = planted(spark, n)
+    labels = F.array((F.col("vec_id") % 3).cast("int"), F.when(F.col("vec_id") < 2, 7).otherwise(1), F.lit(5), (F.col("vec_id") % 40).cast("int"))
+    return rows.withColumn("labels", labels)
+
+
+def test_scores_of_many_labellings_equal_single_ones(spark):
+    df = labelled(spark).cache()
+    many = {r.g: r.silhouette for r in grids.silhouettes(df, 16).collect()}
+    index = {r.g: r.db for r in grids.davies_bouldin(df).collect()}
+    for g in range(4):
+        one = df.select("vec_id", "z", F.col("labels")[g].alias("cluster"))
+        assert abs(many[g] - vectors.silhouette(one).first().silhouette) < 1e-9
+        want = vectors.davies_bouldin(one).first().davies_bouldin
+        assert index[g] is None if want is None else abs(index[g] - want) < 1e-9
+
+
+def test_kmeans_of_many_k(spark):
+    df = planted(spark, 80)
+    ids, z = arrays(df)
+    found, centres = grids.kmeans_many(df, [1, 3, 5, 200])
+    by_k = np.array([r.labels for r in found.orderBy("vec_id").collect()])
+    for g, k in enumerate([1, 3, 5, 200]):
+        d = ((z[:, None] - centres[k][None]) ** 2).sum(axis=2)
+        assert (d[np.arange(len(z)), by_k[:, g]] <= d.min(axis=1) + 1e-9).all()
+        for c in range(len(centres[k])):
+            if k < 200 and (by_k[:, g] == c).any():
+                assert np.allclose(centres[k][c], z[by_k[:, g] == c].mean(axis=0), atol=0.05)
+    inertia = [((z - centres[k][by_k[:, g]]) ** 2).sum() for g, k in enumerate([1, 3, 5, 200])]
+    assert inertia == sorted(inertia, reverse=True) and inertia[-1] < 1e-9
+    assert grids.kmeans_many(df.where("false"), [2, 3])[0].count() == 0
 
 
 def test_curve_falls_from_one():
@@ -278,3 +348,69 @@ def test_own_encoder(spark):
     df = spark.createDataFrame([(0, "abc"), (1, "")], "id long, text string")
     rows = features.embed_with(df, "text", lambda ts: [[len(t), 1] for t in ts]).orderBy("id").collect()
     assert [r.z for r in rows] == [[3.0, 1.0], [0.0, 1.0]]
+
+
+def random_hierarchy(seed, n, m=0):
+    """Binary hierarchy of n splits: rows (m, cluster, parent, birth, size, stability), names falling from parent to part."""
+    rnd = np.random.default_rng(seed)
+    rows, leaves, name = [(m, -10 * n, None, None, 1000, 5.0)], [(-10 * n, 100.0)], -10 * n
+    for _ in range(n):
+        parent, birth = leaves.pop(int(rnd.integers(len(leaves))))
+        birth = birth * float(rnd.uniform(0.7, 1.0))
+        for _ in range(2):
+            name += 1
+            leaves.append((name, birth))
+            rows.append((m, name, parent, birth, 10, float(rnd.integers(0, 9)) / 4))
+    return rows
+
+
+TABLE = "m int, cluster long, parent long, birth double, size long, stability double"
+
+
+def selections(df):
+    return {(r.m, r.cluster): list(r.selected) for r in df.collect()}
+
+
+def test_selection_by_contraction_equals_selection_in_a_task(spark):
+    rows = [r for m, n in enumerate([0, 1, 2, 7, 40, 150]) for r in random_hierarchy(m, n, m)]
+    table = spark.createDataFrame(rows, TABLE)
+    epsilons = [0.0, 5.0, 30.0, 80.0, 1000.0]
+    assert selections(density.choose_all(table, epsilons, tail_clusters=0)) == selections(density.choose_all(table, epsilons))
+
+
+def test_selection_on_a_chain(spark):
+    """A hundred thousand splits below each other: every split parts one final cluster from the rest."""
+    n = 100_000
+    i = F.col("id")
+    chain = spark.range(2 * n).select(
+        F.lit(0).alias("m"), (i - 2 * n).alias("cluster"),
+        F.when(i < 2, F.lit(-2 * n - 1)).otherwise((i - i % 2) - 2 * n - 1).cast("long").alias("parent"),
+        (1.0 / (1 + F.floor(i / 2))).alias("birth"), F.lit(10).cast("long").alias("size"),
+        F.when(i % 2 == 0, 1.0).otherwise(F.when(i == 2 * n // 2 + 1, float(3 * n)).otherwise(0.5)).alias("stability"))
+    root = spark.range(1).select(
+        F.lit(0).alias("m"), F.lit(-2 * n - 1).cast("long").alias("cluster"), F.lit(None).cast("long").alias("parent"),
+        F.lit(None).cast("double").alias("birth"), F.lit(20).cast("long").alias("size"), F.lit(1.0).alias("stability"))
+    found = density.choose_all(chain.unionByName(root), [0.0]).select("cluster", F.col("selected")[0].alias("selected"))
+    strong = 2 * n // 2 + 1 - 2 * n  # the part in the middle that outweighs all below it
+    counts = {r.selected: r.n for r in found.groupBy("selected").agg(F.count("*").alias("n")).collect()}
+    assert counts[strong] == 1 + (2 * n - 1 - (2 * n // 2 + 1))
+    assert sum(counts.values()) == 2 * n + 1
+    assert found.where("selected = cluster").count() == n // 2 + 2
+
+
+@pytest.mark.parametrize("min_samples", [None, 5])
+def test_density_grid_equals_separate_fits(spark, min_samples):
+    reduced = {4: planted(spark, 80), 3: planted(spark, 60, dim=3, seed=2)}
+    ms, epsilons = [5, 8, 1], [0.0, 3.0, 12.0]
+    grid = models.density_grid(reduced, ms, epsilons, min_samples)
+    found = {}
+    for r in grid.where("status = 'ok'").collect():
+        found.setdefault((r.d, r.m, r.eps), {})[r.vec_id] = r.cluster
+    for d, rows in reduced.items():
+        for m in (5, 8):
+            tree = density.reachability(rows, min_samples or m)
+            for e in epsilons:
+                assert found.pop((d, m, e)) == labels(density.hdbscan(rows, m, epsilon=e, tree=tree))
+    assert not found
+    refused = grid.where("status <> 'ok'").groupBy("d", "m", "eps").count().collect()
+    assert sorted((r.d, r.m, r.eps) for r in refused) == [(d, 1, e) for d in (3, 4) for e in epsilons]
