@@ -71,7 +71,8 @@ def counted(docs: DataFrame, weights: dict[str, float] | None = None, size: floa
     """``docs`` with the rate of its source and the number of copies of each row.
 
     Rows with the same doc_id and source get the same number; a null doc_id is hashed as "null", a
-    null source is a source of its own. Other columns are kept and not read.
+    null source is a source of its own. Other columns are kept and not read. ``rate`` and ``copies``
+    must be names that ``docs`` does not have.
     """
     key = fresh(docs, "key")
     cdf, parts = fresh(docs, "cdf"), fresh(docs, "parts")
@@ -93,8 +94,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, size: float =
         rate: str = "rate", copy: str = "copy") -> DataFrame:
     """``docs`` replicated and shuffled, with the rate and the number of the copy, from 1.
 
-    Null and empty texts are replicated like others. An empty table gives an empty one.
+    Null and empty texts are replicated like others. An empty table gives an empty one. If ``docs`` has a column
+    of one of the two names, it is kept and the new one gets underscores in front.
     """
+    rate, copy = fresh(docs, rate), fresh(docs, copy)
     copies, order = fresh(docs, "copies"), fresh(docs, "order")
     rows = counted(docs, weights, size, seed, rate, copies).where(F.col(copies) > 0)
     rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from postlens.llm import words as W
+from postlens.llm.frames import fresh
 
 SLOTS = 1 << 15
 DIM = 32
@@ -153,7 +154,7 @@ def _features(table, extra: list[str]):
     return run
 
 
-def _scores(table, model):
+def _scores(table, model, names):
     def run(batches):
         reader = W.Reader(_classes())
         for batch in batches:
@@ -164,7 +165,7 @@ def _scores(table, model):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(lo, hi - lo) for c in batch.schema.names]
                     + [pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
-                    names=batch.schema.names + ["score", "predicted"])
+                    names=batch.schema.names + names)
     return run
 
 
@@ -174,11 +175,13 @@ class Classifier:
     def __init__(self, spark, table: np.ndarray, model):
         self.table, self.model = spark.sparkContext.broadcast(table), model  # SLOTS x DIM floats, 4 MB
 
-    def score(self, docs: DataFrame, keep: list[str]) -> DataFrame:
-        """(keep..., score, predicted) of every row; ``keep`` must contain text."""
+    def score(self, docs: DataFrame, keep: list[str], score: str = "score", predicted: str = "predicted") -> DataFrame:
+        """(keep..., score, predicted) of every row; ``keep`` must contain text. A name that ``keep``
+        has already gets underscores in front, so a caller that keeps unknown columns passes its own."""
         kept = docs.select(keep)
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-        return kept.mapInArrow(_scores(self.table, self.model), f"{fields}, score double, predicted int")
+        names = [fresh(kept, score), fresh(kept, predicted)]
+        return kept.mapInArrow(_scores(self.table, self.model, names), f"{fields}, `{names[0]}` double, `{names[1]}` int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Classifier:
@@ -199,14 +202,19 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Cla
     shared = spark.sparkContext.broadcast(table)
     # at most train_rows ids, a bound that does not depend on the data
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = known.mapInArrow(_features(shared, ["doc_id", "y"]), "doc_id bigint, y int, x array<double>")
-    rows = rows.groupBy("doc_id", "y").agg(F.min("x").alias("x")).toPandas()
+    # ids of any type; whole numbers are set aside by their own value, others by a hash
+    kind = docs.schema["doc_id"].dataType
+    number = F.col("doc_id").cast("bigint") if isinstance(kind, T.IntegralType) else F.xxhash64("doc_id")
+    known = known.select("doc_id", "text", "y", number.alias("number"))
+    rows = known.mapInArrow(_features(shared, ["doc_id", "y", "number"]),
+                            f"doc_id {kind.simpleString()}, y int, number bigint, x array<double>")
+    rows = rows.groupBy("doc_id", "y", "number").agg(F.min("x").alias("x")).toPandas()
     y = rows["y"].to_numpy(np.float64)
     if len(set(y.tolist())) < 2:
         return Classifier(spark, table, Constant(y))
     rows = rows.sort_values("doc_id", ignore_index=True)
     x, y = np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(np.float64)
-    aside = W.mix(rows["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(5) == 0
+    aside = W.mix(rows["number"].to_numpy(np.int64).view(np.uint64)) % np.uint64(5) == 0
     if len(set(y[~aside].tolist())) < 2 or not aside.any():
         aside = np.zeros(len(y), bool)
     model = Network(x[~aside], y[~aside])
