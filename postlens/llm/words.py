@@ -11,8 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 21
-BLOCK_ROWS = 4096
+BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 2048
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
