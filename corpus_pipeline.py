@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postlens.llm import decontaminate, mixing, near_dedup, quality, queries, token_files
+from postlens.llm.frames import fresh
 from postlens.plans.registry import QUERIES, widened
 from postlens.session import shared_dir
 from postlens.sources import readers
@@ -15,9 +16,9 @@ from postlens.sources import readers
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on all labels, gives label 1."""
     labels = readers.table(spark, sf_dir, "labels")
-    renamed = docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    scored = quality.fit(docs, labels).score(renamed, renamed.columns)
-    return scored.where("predicted = 1").select(docs.columns)
+    score, predicted = fresh(docs, "score"), fresh(docs, "predicted")
+    scored = quality.fit(docs, labels).score(docs, docs.columns, score, predicted)
+    return scored.where(F.col(predicted) == 1).select(docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
