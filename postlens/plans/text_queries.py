@@ -8,11 +8,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from postlens.functions import text as tx, tokens as tk
-from postlens.operators import chunks, codepoints, ordering, stats, tokens as tok
+from postlens.operators import chunks, codepoints, ordering, rules, stats, tokens as tok
 from postlens.plans import sql_views as v
 from postlens.plans.registry import query
 from postlens.session import shared_dir
-from postlens.sources import readers, sinks, views
+from postlens.sources import multiline, readers, sinks, views
 
 SLANG = [("🚀+", "🚀"), ("(?:💎🙌)+", "💎"), ("game stop", "GME")]
 RULES = [(tx.EMOJI_RE, "emojis"), (r"\$[0-9]+", "price"), (r"[A-Z]{3,}", "ticker")]
@@ -41,12 +41,12 @@ def posts(spark, folder):
     )
 
 
-def _round_trip(spark, folder, sep):
+def _round_trip(spark, folder, sep, read=readers.read_csv):
     path = os.path.join(shared_dir(spark), f"csv-{uuid.uuid4().hex}")
     rows = views.titles(spark, folder).withColumn("text", F.concat_ws(". ", "title", "body"))
     rows = rows.withColumn("text", F.concat("text", views.decoration(F.col("id"))))
     sinks.write_csv(rows, path, sep=sep)
-    return readers.read_csv(spark, path, "id bigint, title string, body string, text string", sep=sep, glob="part*")
+    return read(spark, path, "id bigint, title string, body string, text string", sep=sep, glob="part*")
 
 
 _ROUND_TRIP = f"WITH {v.TEXTS} SELECT id, title, body, text FROM titles JOIN texts USING (id)"
@@ -62,6 +62,12 @@ def tsv_scan_roundtrip(spark, folder):
     return _round_trip(spark, folder, "\t")
 
 
+@query("csv_split_roundtrip", _ROUND_TRIP)
+def csv_split_roundtrip(spark, folder):
+    """The same rows through the reader that cuts a file with line breaks in its fields into many tasks."""
+    return _round_trip(spark, folder, ",", multiline.read_csv)
+
+
 @query("typed_scan_defaults", f"""WITH {v.TITLES} SELECT id, title, coalesce(body, '') AS body,
 md5(concat(id, '_7')) AS shuffle_key FROM titles""")
 def typed_scan_defaults(spark, folder):
@@ -223,13 +229,7 @@ _rule_sql = " UNION ALL ".join(
 
 @query("rule_matches", f"WITH {v.TEXTS} {_rule_sql}")
 def rule_matches(spark, folder):
-    found = F.array(*[
-        F.struct(F.lit(label).alias("label"),
-                 F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0)).alias("matches"))
-        for pattern, label in RULES
-    ])
-    rows = views.texts(spark, folder).select("id", F.explode(found).alias("r"))
-    return tok.rows_of(rows.select("id", "r.label", "r.matches"), "matches", ["id", "label"], "match_no", "match")
+    return rules.matches(views.texts(spark, folder), RULES)
 
 
 # -- sentences and chunks ---------------------------------------------------------------
