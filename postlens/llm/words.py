@@ -7,6 +7,8 @@ Words are cut by byte class: every byte of a non-ASCII letter counts as a letter
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -74,8 +76,17 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
+def release():
+    """Give freed memory back to the system. Workers live on from stage to stage, beside those of other cores."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def blocks(column: pa.Array, size: int = BLOCK_BYTES, rows: int = BLOCK_ROWS):
-    """Ranges [lo, hi) of rows of at most ``size`` bytes together; a longer text is alone."""
+    """Ranges [lo, hi) of rows of at most ``size`` bytes together; a longer text is alone. What
+    was freed meanwhile is given back at the end."""
     _, offsets = raw(column)
     lo = 0
     while lo < len(column):
@@ -83,6 +94,7 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES, rows: int = BLOCK_ROWS):
         hi = min(max(hi, lo + 1), lo + rows, len(column))
         yield lo, hi
         lo = hi
+    release()
 
 
 class Words:
