@@ -210,8 +210,9 @@ def _radius(rows):
 
 
 def _centred(radii):
-    facts = radii.agg(F.struct(F.avg("radius").alias("m"), F.stddev_pop("radius").alias("s"))).scalar()
-    return radii.select("i", ((F.col("radius") - facts["m"]) / F.greatest(facts["s"], F.lit(1e-8))).alias("radius"))
+    radii = cut(radii)
+    mean, spread = radii.agg(F.avg("radius"), F.stddev_pop("radius")).first()
+    return radii.select("i", ((F.col("radius") - F.lit(mean)) / max(spread or 0.0, 1e-8)).alias("radius"))
 
 
 def place_new(

@@ -379,8 +379,8 @@ def test_selection_by_contraction_equals_selection_in_a_task(spark):
 
 
 def test_selection_on_a_chain(spark):
-    """A hundred thousand splits below each other: every split parts one final cluster from the rest."""
-    n = 100_000
+    """A hundred thousand clusters, each split below the one before: every split parts one final cluster from the rest."""
+    n = 50_000
     i = F.col("id")
     chain = spark.range(2 * n).select(
         F.lit(0).alias("m"), (i - 2 * n).alias("cluster"),
