@@ -4,7 +4,7 @@ A spot signature is a common word (anchor) with the next content words after it.
 fingerprint is the set of its signatures; the start of the text is an anchor too, so every text
 with a word has one. Likeness is the Jaccard similarity of two sets. Pairs are dealt into
 partitions by the lengths of their sets, and a partition whose lengths rule out the least
-likeness asked for is not compared.
+likeness asked for is not compared. Nothing is ruled out by default.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from postlens.llm.frames import written
 
 CHAIN = 3
 #: Pairs whose set lengths rule out this likeness count as 0 without a comparison.
-LEAST = 0.02
+LEAST = 0.0
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
     "the a an is was are be been to of in on at by for from with as that this it and or not "

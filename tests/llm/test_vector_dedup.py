@@ -71,7 +71,7 @@ def test_empty(spark):
     assert sorted(tuple(r) for r in only) == [(1, 0, 1, True), (2, 0, 2, True)]
 
 
-@pytest.mark.parametrize("noise", [0.1, 0.2, 0.24])
+@pytest.mark.parametrize("noise", [0.1, 0.24])
 def test_recall_of_groups(spark, noise):
     """Many small groups, some of them with links right at the threshold, in leaves of 200 rows."""
     vectors = groups(1, [1] * 1500 + [2] * 300 + [7] * 40 + [120], noise)
