@@ -10,16 +10,16 @@ from postlens.sources.readers import spread, table
 # has emojis, links, quotes, contractions and line breaks to work on.
 DECORATIONS = {
     0: " To the moon 🚀🚀🚀 🚀 now.",
-    1: " Trading, it's good trading. 👱‍♀️",
+    1: " Nice, it's good timing. 👱‍♀️",
     2: " Diamond 💎🙌 💎 🙌 hands.",
-    3: " He said “no Siree” and ‘it’ wasn’t me.",
+    3: " She said “sure thing” and ‘that’ wasn’t mine.",
     4: " I'm sure she's here; they've sold, wasn't it? You're late, I'd say.",
-    5: " Don't sell GME, I say. I do not sell! You should not sell. Should hold.",
+    5: " Don't sell ABC, I think. I do not sell! We should not sell. Should hold.",
     6: " See https://example.org/a?b=c&d=1 and http://x.y.",
     7: " Blank &#x200B; here &#x200Bzz end.",
     8: " *YO* *bold* text",
     9: " First\n- second- third\n\n-YO",
-    10: " Uhhh.... ok.. I paid a steep $5🚀 & 20% more ...",
+    10: " Hmm.... fine.. We got a steep $7🚀 & 30% less ...",
     11: " Wave 👋🏽 👋🏿 🙅🏻 game stop.",
 }
 URL_PREFIX = "https://forum.example.org/comments/"
