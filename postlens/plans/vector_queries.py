@@ -329,7 +329,7 @@ def umap_layout(spark, folder):
 def density_layout(spark, folder):
     """Layout that also keeps how dense the surroundings of each row are, beside the radius it has to keep."""
     rows = cut(_planted(spark, folder))
-    placed = layout.fit(rows, dim=2, n_neighbors=K, steps=STEPS, density_weight=DENSITY)
+    placed = layout.fit(rows, dim=2, n_neighbors=K, steps=STEPS, density_weight=DENSITY, epochs=20)
     near = cut(neighbours.knn(rows, K))
     pair = [F.least("vec_id", "nbr").alias("a"), F.greatest("vec_id", "nbr").alias("b")]
     edges = neighbours.fuzzy_edges(near).join(near.groupBy(*pair).agg(F.min("dist").alias("dist")), ["a", "b"])
