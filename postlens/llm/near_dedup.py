@@ -15,13 +15,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from postlens.llm import words as W
 from postlens.llm.frames import fresh, written
+from postlens.operators.joins import lookup_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 48
 ROWS = 8
-#: Growth of the number of leaders that a bucket chooses at once, from the third round on.
-MORE_LEADERS = 64
+#: Bounds of a block of texts that meets another in one task: rows, and units of all rows.
+BLOCK_ROWS = 2048
+BLOCK_UNITS = 1 << 20
+UNITS_AT_ONCE = 1024
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0xD1B54A32D192ED03)
 _TURN = np.uint64(0x8CB92BA72F3D8DD7)
@@ -116,26 +119,26 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SH
     )
 
 
+def _units(reader: W.Reader, column: pa.Array, size: int):
+    """Each unit of weight as one number that carries its row, and the units of each row."""
+    w = reader.read(W.folded(column))
+    doc, element, weight = elements(w, size)
+    n = weight.astype(np.int64)
+    level = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    doc = np.repeat(doc, n)
+    with np.errstate(over="ignore"):
+        cell = W.mix(np.repeat(element, n) * np.uint64(W.MULTIPLIER) + level.astype(np.uint64))
+    return (doc.astype(np.uint64) << np.uint64(52)) | (cell >> np.uint64(12)), np.bincount(doc, minlength=w.rows)
+
+
 def _comparer(size: int):
     def run(batches):
         reader = W.Reader(W.byte_classes())
-
-        def units(column):
-            """Each unit of weight as one number that carries its row."""
-            w = reader.read(W.folded(column))
-            doc, element, weight = elements(w, size)
-            n = weight.astype(np.int64)
-            level = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            doc = np.repeat(doc, n)
-            with np.errstate(over="ignore"):
-                cell = W.mix(np.repeat(element, n) * np.uint64(W.MULTIPLIER) + level.astype(np.uint64))
-            return (doc.astype(np.uint64) << np.uint64(52)) | (cell >> np.uint64(12)), np.bincount(doc, minlength=w.rows)
-
         for batch in batches:
             left, right = W.strings(batch.column("text_a")), W.strings(batch.column("text_b"))
             for lo, hi in W.blocks(left, W.BLOCK_BYTES // 2, 512):
-                a, size_a = units(left.slice(lo, hi - lo))
-                b, size_b = units(right.slice(lo, hi - lo))
+                a, size_a = _units(reader, left.slice(lo, hi - lo), size)
+                b, size_b = _units(reader, right.slice(lo, hi - lo), size)
                 both = np.intersect1d(a, b)
                 common = np.bincount((both >> np.uint64(52)).astype(np.int64), minlength=hi - lo)
                 union = size_a + size_b - common
@@ -145,6 +148,23 @@ def _comparer(size: int):
     return run
 
 
+def _lister(size: int):
+    """Function of (node, text): the sorted units of each text."""
+    def run(batches):
+        reader = W.Reader(W.byte_classes())
+        for batch in batches:
+            texts = W.strings(batch.column("text"))
+            for lo, hi in W.blocks(texts):
+                units, counts = _units(reader, texts.slice(lo, hi - lo), size)
+                units = np.sort(units) & np.uint64((1 << 52) - 1)
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(lo, hi - lo),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(units.view(np.int64)))],
+                    names=["node", "units"])
+    return run
+
+
 def similar(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(a, b, j): the exact weighted Jaccard similarity of pairs of nodes."""
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -211,65 +231,115 @@ def _tasks(df: DataFrame) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
 
 
-def _rings(rows: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
-    """(key, node): buckets (key, leader, node) split by the distance to the leader.
+def _least_links(linked: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of rows of the matrix ``linked`` that join all components it joins, one less than
+    there are components at most."""
+    names, of = np.unique(comp, return_inverse=True)
+    rows, columns = np.nonzero(linked)
+    sides = np.concatenate([of[rows] * len(names) + of[columns], of[columns] * len(names) + of[rows]])
+    pair, at = np.unique(sides, return_index=True)
+    start = np.searchsorted(pair, np.arange(len(names) + 1) * len(names))
+    at = at % max(len(rows), 1)
+    found, seen = [], np.zeros(len(names), bool)
+    for first in np.unique(pair // len(names)):
+        stack = [] if seen[first] else [first]
+        seen[first] = True
+        while stack:
+            here = stack.pop()
+            span = slice(start[here], start[here + 1])
+            other = pair[span] % len(names)
+            new = ~seen[other]
+            seen[other[new]] = True
+            found += [(int(rows[k]), int(columns[k])) for k in at[span][new]]
+            stack += other[new].tolist()
+    return found
+
+
+def _block_links(similarity: float):
+    """Function of the rows (block, node, comp, units) of two blocks: links (a, b) between components."""
+    def run(group: pa.Table) -> pa.Table:
+        block = group.column("block").to_numpy()
+        node, comp = group.column("node").to_numpy(), group.column("comp").to_numpy()
+        units = group.column("units").combine_chunks()
+        if isinstance(units, pa.ChunkedArray):
+            units = pa.concat_arrays(units.chunks)
+        n = np.diff(units.offsets.to_numpy()).astype(np.int64)
+        _, unit, held = np.unique(units.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        keep = held[unit] > 1
+        row, unit = np.repeat(np.arange(len(n)), n)[keep], (np.cumsum(held > 1) - 1)[unit[keep]]
+        order = np.argsort(unit, kind="stable")
+        row, unit = row[order], unit[order]
+        one = np.flatnonzero(block == block.min())
+        two = one if block.min() == block.max() else np.flatnonzero(block == block.max())
+        common = np.zeros((len(one), len(two)), np.float32)
+        for lo in range(0, int(unit[-1]) + 1 if len(unit) else 0, UNITS_AT_ONCE):
+            span = slice(*np.searchsorted(unit, [lo, lo + UNITS_AT_ONCE]))
+            has = np.zeros((len(n), UNITS_AT_ONCE), np.float32)
+            has[row[span], unit[span] - lo] = 1
+            common += has[one] @ has[two].T
+        union = n[one][:, None] + n[two][None, :] - common
+        linked = (common >= similarity * union) & (comp[one][:, None] != comp[two][None, :])
+        square = np.zeros((len(n), len(n)), bool)
+        square[np.ix_(one, two)] = linked
+        found = np.array(_least_links(square, comp), np.int64).reshape(-1, 2)
+        a, b = node[found[:, 0]], node[found[:, 1]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    return run
 
-    One minus the similarity is a metric, so two members whose distances to the leader differ
-    by more than 1 - similarity cannot be linked. A member goes to the group of its ring and to
-    that of the ring before, so any two that may be linked meet in one group.
-    """
-    ends = rows.withColumns({"a": F.least("leader", "node"), "b": F.greatest("leader", "node")})
-    ring = F.floor((1 - F.col("j")) / (1 - similarity + 1e-9))
-    groups = F.filter(F.array(ring, ring - 1), lambda g: g >= 0)
-    split = ends.where("leader <> node").join(tested, ["a", "b"]).select("key", "node", F.explode(groups).alias("g"))
-    return split.select(F.xxhash64("key", "g").alias("key"), "node").distinct()
+
+def _blocks(groups: DataFrame, listed: DataFrame) -> DataFrame:
+    """(leader, lo, hi, block, node, comp, units): every two blocks of each group, and each with
+    itself. ``groups`` is (leader, node, comp), ``listed`` (node, units, n)."""
+    sized = groups.join(listed.select("node", "n"), "node")
+    held = sized.groupBy("leader").agg(F.count("*").alias("rows"), F.sum("n").alias("total"))
+    parts = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_UNITS)).alias("parts")
+    placed = lookup_join(groups, held.select("leader", parts), ["leader"], "inner")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = placed.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
+    return placed.select(
+        "leader", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "comp"
+    ).join(listed.select("node", "units"), "node")
 
 
 def _links(nodes: DataFrame, texts_of, similarity: float, size: int) -> DataFrame | None:
     """Component of every node that has a link; None if there is no shared bucket.
 
-    All members of a bucket are compared with one leader, and the bucket is split into rings
-    around it, twice. What still holds several components then chooses more and more leaders,
-    which meet the members of other components; used leaders leave. It ends when every two
-    members of a bucket were compared, are connected, or cannot be linked. A large group of
-    copies is one component after the first round, so its rows grow with its size only.
+    Each bucket is led by the member that meets most others in all of its buckets: among copies
+    of one text that is the text they were made from, or one close to it. Each node is compared
+    with the best leader that it meets, so a large group of copies costs one comparison a copy.
+    Members of buckets that still hold several components meet in the group of the bucket's
+    leader. A group is cut into blocks of bounded size, two blocks meet in a task that compares
+    their sets and returns no more links than it takes to join components. So every two texts
+    that share a bucket were compared or are connected, and no pair that is no link becomes a row.
     """
     members = nodes.select("node", F.explode("keys").alias("key"))
-    leaders = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    shared = written(members.join(leaders.drop("n"), "key"))
+    sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(members.join(sizes, "key"))
     if shared.isEmpty():
         return None
     texts = written(texts_of(shared.select("node").distinct()))
-
-    def ordered(rows):
-        return rows.where("leader <> node").select(
-            F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-
-    tested = written(similar(ordered(shared), texts, size))
-    left, leaders_each = written(_rings(shared, tested, similarity)), 1
-    labels = components(tested.where(F.col("j") >= similarity).select("a", "b"))
-    while True:
-        now = left.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        now = written(now.join(mixed, "key"))
-        if now.isEmpty():
-            return labels
-        slot = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
-        chosen = now.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("node", "comp")).alias("lead"))
-        chosen = written(chosen.select("key", F.col("lead.node").alias("leader"), F.col("lead.comp").alias("own")))
-        met = now.join(chosen, "key")
-        if leaders_each > 1:
-            met = met.where("comp <> own")
-        new = ordered(met).join(tested, ["a", "b"], "left_anti")
-        new = written(similar(new, texts, size))
-        tested = tested.union(new)
-        labels = extended(labels, new.where(F.col("j") >= similarity).select("a", "b"))
-        if leaders_each == 1:
-            left = written(_rings(met, tested, similarity))
-        else:
-            left = now.select("key", "node").join(
-                chosen.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
-        leaders_each *= MORE_LEADERS
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    ranked = shared.select("key", "node").join(met, "node")
+    place = F.struct("met", F.expr("-node").alias("order"), "node")
+    leaders = ranked.groupBy("key").agg(F.max(place).alias("lead"))
+    led = written(shared.select("key", "node").join(leaders, "key"))
+    best = led.groupBy("node").agg(F.max("lead").alias("lead"))
+    pairs = best.select("node", F.col("lead.node").alias("leader")).where("leader <> node").select(
+        F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+    tested = similar(pairs, texts, size).where(F.col("j") >= similarity).select("a", "b")
+    labels = components(written(tested))
+    now = led.join(labels, "node", "left").select(
+        "key", F.col("lead.node").alias("leader"), "node", F.coalesce("comp", "node").alias("comp"))
+    now = written(now)
+    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    groups = written(now.join(mixed, "key").select("leader", "node", "comp").distinct())
+    if groups.isEmpty():
+        return labels
+    active = texts.join(groups.select("node").distinct(), "node", "left_semi")
+    listed = written(active.mapInArrow(_lister(size), "node bigint, units array<bigint>").withColumn("n", F.size("units")))
+    links = _blocks(groups, listed).groupBy("leader", "lo", "hi").applyInArrow(
+        _block_links(similarity), "a bigint, b bigint")
+    return extended(labels, written(links.distinct()))
 
 
 def classes(

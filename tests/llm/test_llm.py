@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -459,6 +460,47 @@ def test_large_groups_of_near_copies(spark):
     assert {c for _, c in got} == {0, 1000, 2000}
 
 
+def test_least_links_span_components():
+    rng = np.random.default_rng(5)
+    for n, share in ((1, 1.0), (12, 0.0), (12, 0.05), (30, 0.04), (30, 0.5)):
+        comp = rng.integers(0, max(n // 2, 1), n) * 7
+        linked = (rng.random((n, n)) < share) & (comp[:, None] != comp[None, :])
+        found = near_dedup._least_links(linked, comp)
+        assert all(linked[a, b] for a, b in found)
+
+        def sets(pairs):
+            label = {c: c for c in comp}
+            for a, b in pairs:
+                low, high = sorted((label[comp[a]], label[comp[b]]))
+                label = {c: low if v == high else v for c, v in label.items()}
+            return label
+        everything, fewest = sets(zip(*np.nonzero(linked))), sets(found)
+        assert everything == fewest
+        assert len(found) == len(set(comp)) - len(set(fewest.values()))
+
+
+def test_copies_in_many_blocks(spark, monkeypatch):
+    """Copies of one text, most of them too far from it and from each other, some near another copy."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+
+    def edited(words, edits):
+        words = list(words)
+        for at in rng.sample(range(len(words)), edits):
+            words[at] = f"x{rng.randrange(10**6)}"
+        return words
+    far = [edited(base, 4) for _ in range(60)]
+    texts = [base, *(edited(base, 1) for _ in range(20)), *far, *(edited(w, 1) for w in far[::4])]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    wanted = brute_classes(rows)
+    assert 5 < len({c for _, c in wanted}) < 90
+    monkeypatch.setattr(near_dedup, "UNITS_AT_ONCE", 16)
+    for size, units in ((2048, 1 << 20), (7, 1 << 20), (2048, 900)):
+        monkeypatch.setattr(near_dedup, "BLOCK_ROWS", size)
+        monkeypatch.setattr(near_dedup, "BLOCK_UNITS", units)
+        assert Counter((r.doc_id, r.class_id) for r in near_dedup.classes(table(spark, rows)).collect()) == wanted
+
+
 def test_signatures_estimate_similarity():
     doc = np.repeat([0, 1], [100, 100])
     element = np.concatenate([np.arange(100), np.arange(100)]).astype(np.uint64)
