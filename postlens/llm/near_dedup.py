@@ -352,7 +352,8 @@ def classes(
     missed by all 48 bands of 8 with probability 1.5e-4, at 0.85 with 3e-7.
 
     Null counts as the empty text. Texts without words are copies of equal texts only. A text
-    of fewer than five words is one run of all its words. Repeated rows and repeated ids are
+    of fewer than five words is one run of all its words. A long text costs in proportion to its
+    words; blocks of the search count runs of words, so few long texts share one. Repeated rows and repeated ids are
     ordinary rows; a null doc_id is the smallest of all. An empty table gives an empty result. Other columns
     are not read.
     """
