@@ -307,6 +307,31 @@ def saved_labels(spark, folder):
     return readers.read_params(spark, path, d=6, m=28).select("d", "m", "vec_id", "cluster")
 
 
+@query("saved_sizes_csv", f"""WITH {_GRID} SELECT d, m, count(*) AS clusters, CAST(sum(n) AS BIGINT) AS n,
+CAST(sum(n * cluster) AS BIGINT) AS weighted, 1 AS files FROM sizes GROUP BY d, m""")
+def saved_sizes_csv(spark, folder):
+    """Sizes of all clusters through a single CSV file: sums of each model, and the files they came from."""
+    path = _new_path(spark, "sizes")
+    sinks.write_csv(_grid_sizes(spark, folder).select("d", "m", "cluster", "n"), path, single_file=True)
+    back = readers.read_csv(spark, path, "d bigint, m bigint, cluster bigint, n bigint", multiline=False, glob="part*")
+    return back.withColumn("file", F.input_file_name()).groupBy("d", "m").agg(
+        F.count("*").alias("clusters"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("cluster")).alias("weighted"),
+        F.count_distinct("file").alias("files"))
+
+
+@query("saved_runs_glob", """SELECT 'documents' AS origin, doc_id AS id, length(text) AS n_chars FROM documents
+UNION ALL SELECT 'conversations', conv_id, length(text) FROM conversations""")
+def saved_runs_glob(spark, folder):
+    """Part files of two runs, each in a folder of its own, read as one table by a pattern."""
+    base = _new_path(spark, "runs")
+    for name, key in (("documents", "doc_id"), ("conversations", "conv_id")):
+        rows = readers.table(spark, folder, name).select(
+            F.lit(name).alias("origin"), F.col(key).alias("id"), F.length("text").alias("n_chars"))
+        sinks.write_csv(rows, sinks.run_folder(base, "lengths", name), sep="\t")
+    schema = "origin string, id bigint, n_chars bigint"
+    return readers.read_csv(spark, f"{base}/lengths_*", schema, sep="\t", multiline=False, glob="part*")
+
+
 @query("saved_sizes_json", f"WITH {_GRID} SELECT d, m, cluster, n FROM sizes")
 def saved_sizes_json(spark, folder):
     path = _new_path(spark, "sizes")
