@@ -344,6 +344,23 @@ def test_models(spark, embeddings):
     assert {r.status for r in grid.select("status").distinct().collect()} == {"ok"}
 
 
+def test_topics_part_two_kinds_of_documents(spark):
+    """Also with ids that repeat; the vocabulary is a table, not a list on the driver."""
+    words = [["sun", "sea", "sand"], ["snow", "ski", "ice"]]
+    docs = [(i // 2, [words[i % 2][(i + j) % 3] for j in range(3 + i % 4)]) for i in range(400)] + [(7, [])]
+    df = spark.createDataFrame(docs, "id long, t array<string>")
+    vocabulary, model, rows = models.topics(df, "t", k=2, iterations=25)
+    assert {r.term: round(r.idf, 9) for r in vocabulary.collect()}.keys() == {w for part in words for w in part}
+    shares = model.transform(rows).collect()
+    assert len(shares) == 400 and all(abs(sum(r.share) - 1) < 1e-9 for r in shares)
+    top = [set(r.topic_words) for r in models.describe_topics(vocabulary, model, 3).orderBy("topic").collect()]
+    assert sorted(map(sorted, top)) == sorted(map(sorted, words))
+    weights = model.weights().collect()
+    assert np.allclose(np.sum([[r.l0, r.l1] for r in weights], axis=0), model.totals)
+    score = {r.k: r.log_perplexity for r in models.perplexity(df, "t", [1, 2], iterations=25).collect()}
+    assert 0 < score[2] < score[1] < 10
+
+
 def test_own_encoder(spark):
     df = spark.createDataFrame([(0, "abc"), (1, "")], "id long, text string")
     rows = features.embed_with(df, "text", lambda ts: [[len(t), 1] for t in ts]).orderBy("id").collect()
