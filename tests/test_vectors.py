@@ -361,6 +361,43 @@ def test_topics_part_two_kinds_of_documents(spark):
     assert 0 < score[2] < score[1] < 10
 
 
+def test_blocks_travel_once_for_each_group(spark, monkeypatch):
+    """Silhouettes, neighbours and trees send a block to the groups that want it, not to every other block."""
+    df = planted(spark, 160).withColumn("cluster", (F.col("vec_id") % 3).cast("int"))
+    monkeypatch.setattr(blocks, "GROUP_BLOCKS", 64)
+    monkeypatch.setattr(blocks, "cores_of", lambda spark: 2)
+    sent, real = [], blocks._sent
+
+    def counting(*args):
+        out = real(*args)
+        sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(blocks, "_sent", counting)
+    ids, z = arrays(df)
+    assert lists(neighbours.knn(df, 5, 4)) == brute_knn(ids, z, 5)
+    tree = density.reachability(df, 4, 4).collect()
+    assert sorted((r.a, r.b, round(r.weight, 9)) for r in tree) == sorted(brute_tree(ids, z, 4))
+    one = vectors.silhouette(df).first().silhouette
+    assert abs(one - vectors.silhouette_rows(df, 4).agg(F.avg("silhouette")).first()[0]) < 1e-9
+    blocks_ = int(blocks.split(df.select("vec_id", "z"), 4)[1].parts.sum())
+    assert blocks_ > 40 and max(sent) <= 10 * blocks_
+
+
+def test_tree_edges_are_found_once(spark, monkeypatch):
+    df = planted(spark, 60)
+    calls = spark.sparkContext.accumulator(0)
+    real = spanning._pair_tree
+
+    def counting(a, b):
+        calls.add(1)
+        return real(a, b)
+
+    monkeypatch.setattr(spanning, "_pair_tree", counting)
+    density.reachability(df, 4, 20)
+    assert 0 < calls.value <= 36
+
+
 def test_own_encoder(spark):
     df = spark.createDataFrame([(0, "abc"), (1, "")], "id long, text string")
     rows = features.embed_with(df, "text", lambda ts: [[len(t), 1] for t in ts]).orderBy("id").collect()
