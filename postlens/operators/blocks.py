@@ -20,9 +20,12 @@ from postlens.session import cut
 BLOCK_ROWS = 2048
 MAX_CELLS = 2048
 TILE_ROWS = 256
-#: Blocks that one group may have, and groups for each core as long as they have fewer.
-GROUP_BLOCKS = 32
-GROUPS_A_CORE = 4
+#: Blocks that one group may have. As long as they have fewer, there is one owner of blocks for each core, and
+#: a few meetings of groups for each core.
+GROUP_BLOCKS = 64
+MEETINGS_A_CORE = 4
+#: Bytes of vectors that a group may have, so that wide vectors make smaller groups.
+GROUP_BYTES = 1 << 28
 
 
 @dataclass
@@ -168,7 +171,7 @@ def _packed(df: DataFrame, extra: str | None, keys: list[str]) -> DataFrame:
             extra_values = frame[extra].to_numpy(kind) if extra else np.zeros(len(frame), "int64")
         return pd.DataFrame([{
             "block": int(frame["block"].iloc[0]), "cell": int(frame["cell"].iloc[0]),
-            "ids": frame["vec_id"].to_numpy("int64").tobytes(), "vectors": z.tobytes(),
+            "ids": frame["vec_id"].to_numpy("int64").tobytes(), "vectors": _narrow(z).tobytes(),
             "extra": extra_values.tobytes(), "kind": kind, "n": len(frame), "dim": z.shape[1],
         }])
 
@@ -176,10 +179,19 @@ def _packed(df: DataFrame, extra: str | None, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).applyInPandas(one, schema)
 
 
+def _narrow(z: np.ndarray) -> np.ndarray:
+    """The same numbers in four bytes each, if all of them have a four-byte form."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        short = z.astype("float32")
+    return short if np.array_equal(short, z) else z
+
+
 def unpack(row) -> Block:
+    n, dim = int(row.n), int(row.dim)
+    kind = "float32" if len(row.vectors) < 8 * n * dim else "float64"
     return Block(
         np.frombuffer(row.ids, "int64"),
-        np.frombuffer(row.vectors, "float64").reshape(int(row.n), int(row.dim)),
+        np.frombuffer(row.vectors, kind).reshape(n, dim).astype("float64"),
         np.frombuffer(row.extra, row.kind), int(row.block), int(row.cell),
     )
 
@@ -260,11 +272,13 @@ def by_owner(
 ) -> DataFrame:
     """Run ``work(own blocks, other blocks) -> frames`` for each group of blocks of (vec_id, z, cell, block).
 
+    There is one group for each core until groups have ``most_blocks``, so a block travels at most once for each core.
     The own blocks are a list; the others come one after the other, those of the nearest cells first, and are
     not held. Own blocks have to be compared with each other by ``work``. With ``asking`` rows whose ``extra``
     is 1 are owned only, and those with 0 are others only, of their own group too.
     """
-    group, cell_of = groups_of_blocks(cells, GROUPS_A_CORE * cores_of(df.sparkSession), most_blocks)
+    most_blocks = min(most_blocks, max(1, GROUP_BYTES // (8 * BLOCK_ROWS * max(1, cells.pivots.shape[1]))))
+    group, cell_of = groups_of_blocks(cells, cores_of(df.sparkSession), most_blocks)
     n = int(group.max()) + 1 if len(group) else 1
     # how far each group is from each cell, and whether it wants it
     far = np.full((n, len(cells.parts)), np.inf)
@@ -315,7 +329,7 @@ def by_meeting(df: DataFrame, cells: Cells, wanted: np.ndarray, work, schema: st
     times. A pair of equal blocks comes as the same object twice.
     """
     cores = cores_of(df.sparkSession)
-    group, cell_of = groups_of_blocks(cells, int(np.ceil(np.sqrt(2 * GROUPS_A_CORE * cores))))
+    group, cell_of = groups_of_blocks(cells, int(np.ceil(np.sqrt(2 * MEETINGS_A_CORE * cores))))
     n = int(group.max()) + 1 if len(group) else 1
     # which groups want a cell, and which cells a group has
     wants = np.zeros((n, len(cells.parts)), bool)

@@ -384,6 +384,34 @@ def test_blocks_travel_once_for_each_group(spark, monkeypatch):
     assert blocks_ > 40 and max(sent) <= 10 * blocks_
 
 
+def test_a_block_of_neighbours_travels_once_for_each_core(spark, monkeypatch):
+    """Its numbers take four bytes if they have a four-byte form, and come back unchanged in either."""
+    df = planted(spark, 160)
+    exact = df.withColumn("z", F.transform("z", lambda x: x.cast("float").cast("double")))
+    monkeypatch.setattr(blocks, "cores_of", lambda spark: 2)
+    sent, real = [], blocks._sent
+
+    def counting(*args):
+        out = real(*args)
+        sent.append(out.select("n", "dim", F.length("vectors").alias("bytes")).collect())
+        return out
+
+    monkeypatch.setattr(blocks, "_sent", counting)
+    for rows, size in ((df, 8), (exact, 4)):
+        ids, z = arrays(rows)
+        sent.clear()
+        assert lists(neighbours.knn(rows, 5, 4)) == brute_knn(ids, z, 5)
+        n_blocks = int(blocks.split(rows.select("vec_id", "z"), 4)[1].parts.sum())
+        assert n_blocks > 40 and len(sent[0]) <= 2 * n_blocks
+        if size == 4:
+            assert all(r.bytes == 4 * r.n * r.dim for r in sent[0])
+    odd = np.array([[0.1, np.nan, np.inf], [-0.0, 1e300, 2.0]])
+    for z in (odd, np.array([[1.5, -0.0, 3.0]]), np.zeros((2, 0))):
+        row = type("Row", (), dict(ids=np.arange(len(z)).tobytes(), vectors=blocks._narrow(z).tobytes(), extra=b"", kind="int64",
+                                   n=len(z), dim=z.shape[1], block=0, cell=0))
+        assert blocks.unpack(row).vectors.tobytes() == z.tobytes()
+
+
 def test_tree_edges_are_found_once(spark, monkeypatch):
     df = planted(spark, 60)
     calls = spark.sparkContext.accumulator(0)
