@@ -6,9 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from postlens.llm import words as W
 from postlens.llm.frames import written
-from postlens.llm.token_files import encoder
+from postlens.llm.token_files import encoder, text_blocks
 
 #: Lengths per group when sums are carried over all lengths; one row per group meets in one task.
 GROUP = 1024
@@ -17,12 +16,10 @@ GROUP = 1024
 def _counter(path: str):
     def run(batches):
         coder = encoder(path)
-        for batch in batches:
-            texts = W.strings(batch.column("text"))
-            for lo, hi in W.blocks(texts):
-                _, count = coder.encode(texts.slice(lo, hi - lo))
-                found, docs = np.unique(count, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(docs)], names=["n_tokens", "docs"])
+        for _, _, _, texts in text_blocks(batches):
+            _, count = coder.encode(texts)
+            found, docs = np.unique(count, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(docs)], names=["n_tokens", "docs"])
     return run
 
 

@@ -28,6 +28,8 @@ SEGMENT_TOKENS = 1 << 17
 ROW_GROUP_BYTES = 16 << 20
 #: Words whose ids a task remembers, at most; beyond that it starts to remember anew.
 REMEMBERED = 800_000
+#: Bytes of texts that are encoded at once, which take about a hundred times as much memory.
+BLOCK_BYTES = 1 << 18
 RANK_BITS = 512
 
 
@@ -92,6 +94,13 @@ class Codes:
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.int64)
 
 
+def _grown(values: np.ndarray, size: int) -> np.ndarray:
+    """The values with room for ``size``; memory that is not used yet is not touched."""
+    out = np.zeros(size, values.dtype)
+    out[:len(values)] = values
+    return out
+
+
 #: A text that only a vocabulary of the known splitting and folding encodes as the encoder does.
 PROBE = "Ab cD1,22-x_y  \u00c9\u00e9 don't (Z)\n\t9th; \u0130x. A\u0301"
 
@@ -137,10 +146,20 @@ class Encoder:
         return len(low) == 1 and low.isalpha()
 
     def forget(self):
-        self.known: dict[int, int] = {}
+        # hashes of the known words in order, and the place of each in ``begin``
+        self.known = np.zeros(0, np.uint64)
+        self.place = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 16, np.int64)
 
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``known``, whether it is there) of each hash."""
+        at = np.searchsorted(self.known, hashes)
+        there = np.zeros(len(hashes), bool)
+        inside = at < len(self.known)
+        there[inside] = self.known[at[inside]] == hashes[inside]
+        return at, there
+
     def _learn(self, new: list[tuple[int, str, bool]]):
         """Encode new words: plain ones all at once, since each is one piece with one end."""
         hashes, ids, lengths = [], [], []
@@ -160,12 +179,16 @@ class Encoder:
             lengths.append(len(e.ids))
         n, used = len(self.known), int(self.begin[len(self.known)])
         if n + len(hashes) + 1 > len(self.begin):
-            self.begin = np.resize(self.begin, 2 * (n + len(hashes) + 1))
+            self.begin = _grown(self.begin, 3 * (n + len(hashes) + 1) // 2)
         if used + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (used + len(ids)))
+            self.ids = _grown(self.ids, 3 * (used + len(ids)) // 2)
         self.ids[used: used + len(ids)] = ids
         self.begin[n + 1: n + 1 + len(hashes)] = used + np.cumsum(lengths)
-        self.known.update(zip(hashes, range(n, n + len(hashes))))
+        hashes = np.array(hashes, np.uint64)
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.known, hashes[order])
+        self.known = np.insert(self.known, at, hashes[order])
+        self.place = np.insert(self.place, at, n + order)
 
     def _pieces(self, column: pa.Array):
         """(start, end, odd, hash, row) of the pieces that are looked up."""
@@ -204,12 +227,12 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.forget()
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        unique = unique.tolist()
-        raw = text.tobytes()
-        new = [(h, raw[start[i]: end[i]].decode(), bool(odd[i])) for h, i in zip(unique, first.tolist()) if h not in self.known]
-        if new:
-            self._learn(new)
-        place = np.array([self.known[h] for h in unique], np.int64)
+        at, there = self._find(unique)
+        if not there.all():
+            self._learn([(int(unique[u]), text[start[first[u]]: end[first[u]]].tobytes().decode(), bool(odd[first[u]]))
+                         for u in np.flatnonzero(~there)])
+            at, _ = self._find(unique)
+        place = self.place[at].astype(np.int64)
         begin, n = self.begin[place], self.begin[place + 1] - self.begin[place]
         begin, n = begin[inverse], n[inverse]
         at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -227,6 +250,15 @@ def encoder(path: str) -> Encoder:
     return found[path]
 
 
+def text_blocks(batches):
+    """(batch, first row, row after the last, texts) of blocks of rows; a large batch is not copied whole."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, W.BLOCK_ROWS):
+            texts = W.strings(batch.column("text").slice(first, W.BLOCK_ROWS))
+            for lo, hi in W.blocks(texts, BLOCK_BYTES):
+                yield batch, first + lo, first + hi, texts.slice(lo, hi - lo)
+
+
 def _segments(path: str, end_id: int, size: int):
     def run(batches):
         coder = encoder(path)
@@ -245,28 +277,26 @@ def _segments(path: str, end_id: int, size: int):
                  lists(starts, pa.int64()), lists(levels, pa.binary()), lists(marks, pa.binary()), lists(ranks, pa.binary())],
                 names=["shard", "part", "n_tokens", "doc_ids", "starts", "levels", "marks", "ranks"])
 
-        for batch in batches:
-            texts = W.strings(batch.column("text"))
-            for lo, hi in W.blocks(texts):
-                flat, count = coder.encode(texts.slice(lo, hi - lo))
-                ends = np.cumsum(count)
-                flat = np.insert(flat, ends, end_id)
-                count = count + 1
-                ends = np.cumsum(count)
-                at = 0
-                while at < hi - lo:
-                    base = ends[at] - count[at]
-                    room = max(0, size - sum(len(x) for x in ids))
-                    upto = max(int(np.searchsorted(ends, base + room, "right")), at + (not ids))
-                    if upto > at:
-                        ids.append(flat[base: ends[upto - 1]])
-                        lengths.extend(count[at:upto].tolist())
-                        names.append(batch.column("doc_id").slice(lo + at, upto - at))
-                        at = upto
-                    if at < hi - lo:
-                        yield segment()
-                        part += 1
-                        ids, lengths, names = [], [], []
+        for batch, lo, hi, texts in text_blocks(batches):
+            flat, count = coder.encode(texts)
+            ends = np.cumsum(count)
+            flat = np.insert(flat, ends, end_id)
+            count = count + 1
+            ends = np.cumsum(count)
+            at = 0
+            while at < hi - lo:
+                base = ends[at] - count[at]
+                room = max(0, size - sum(len(x) for x in ids))
+                upto = max(int(np.searchsorted(ends, base + room, "right")), at + (not ids))
+                if upto > at:
+                    ids.append(flat[base: ends[upto - 1]])
+                    lengths.extend(count[at:upto].tolist())
+                    names.append(batch.column("doc_id").slice(lo + at, upto - at))
+                    at = upto
+                if at < hi - lo:
+                    yield segment()
+                    part += 1
+                    ids, lengths, names = [], [], []
         if ids:
             yield segment()
     return run

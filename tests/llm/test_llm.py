@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -373,6 +374,30 @@ def test_encoder_agrees_with_library(docs, tokenizer):
         tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_memory(tokenizer):
+    """A remembered word takes some tens of bytes, and a block of texts little while it is encoded."""
+    coder = token_files.Encoder(queries.VOCABULARY)
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(40)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    try:
+        found = [(lo, hi, *coder.encode(part)) for _, lo, hi, part in token_files.text_blocks([batch])]
+        places = [x[:2] for x in found]
+        ids = np.concatenate([x[2] for x in found])
+        counts = np.concatenate([x[3] for x in found])
+        del found
+        held, peak = tracemalloc.get_traced_memory()
+        coder.forget()
+        assert len(texts) * 40 * 80 > held - tracemalloc.get_traced_memory()[0]
+        assert peak < 60e6
+    finally:
+        tracemalloc.stop()
+    assert len(places) > 1 and [a for a, _ in places] == [0, *(b for _, b in places[:-1])] and places[-1][1] == len(texts)
+    encoded = tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert counts.tolist() == [len(e.ids) for e in encoded] and ids.tolist() == [i for e in encoded for i in e.ids]
+
+
 def test_codes_random_access():
     for top in (2, 256, 70_000, 2**31):
         values = np.random.default_rng(3).integers(0, top, 3001)
