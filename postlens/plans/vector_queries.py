@@ -58,19 +58,19 @@ def _weights(texts):
 
 @query("term_frequency", f"WITH {_TERMS} SELECT id, term, tf FROM tf")
 def term_frequency(spark, folder):
-    return _frequency(views.texts(spark, folder))
+    return _frequency(views.texts(spark, folder, pieces=True))
 
 
 @query("tfidf", f"WITH {_TERMS} SELECT id, term, tf, round(weight, 6) AS weight FROM weights")
 def tfidf(spark, folder):
-    return _rounded(_weights(views.texts(spark, folder)), "weight")
+    return _rounded(_weights(views.texts(spark, folder, pieces=True)), "weight")
 
 
 @query("ngram_tfidf", f"""WITH {_FEATURES}, tf AS (SELECT id, ngram AS term, count(*) AS tf FROM grams WHERE ngram <> '' GROUP BY 1, 2),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
 SELECT id, term, tf, round(tf * ln(((SELECT count(*) FROM texts) + 1) / (df + 1)), 6) AS weight FROM tf JOIN df USING (term)""")
 def ngram_tfidf(spark, folder):
-    texts = views.texts(spark, folder)
+    texts = views.texts(spark, folder, pieces=True)
     grams = tok.rows_of(tok.topic_features(texts, CFG), "ngrams", ["id"], "pos", "ngram")
     weights = features.tfidf(features.term_frequency(grams, "ngram"), texts.agg(F.count("*")).scalar())
     return _rounded(weights, "weight")
@@ -83,7 +83,7 @@ g AS (SELECT id, dim FROM texts, (SELECT unnest(range(64)) AS dim))
 SELECT id, dim, round(coalesce(CASE WHEN norm > 0 THEN x / norm ELSE x END, 0), 6) + 0.0::DOUBLE AS value
 FROM g LEFT JOIN h USING (id, dim) LEFT JOIN n USING (id)""")
 def hash_embed(spark, folder):
-    texts = views.texts(spark, folder)
+    texts = views.texts(spark, folder, pieces=True)
     rows = features.hash_embed(_weights(texts), texts)
     return _rounded(rows.select("id", F.posexplode("z").alias("dim", "value")), "value")
 

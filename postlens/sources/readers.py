@@ -16,6 +16,8 @@ POSTS_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()),
 ])
 CHUNKS_SCHEMA = "post_id string, chunk_num int, long_sent string"
+#: Bytes of text in one task of a job that makes many rows of each text and counts them.
+PIECE_BYTES = 4 << 20
 CHUNK_DEFAULTS = {"post_id": "", "chunk_num": 0, "long_sent": ""}
 
 
@@ -35,6 +37,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key)
 
 
+def in_pieces(df: DataFrame, key: str, text: str, piece_bytes: int | None = None) -> DataFrame:
+    """Hash-partition rows by ``key`` into pieces of about ``piece_bytes`` of text each.
+
+    More input makes more pieces, not larger ones, and what is counted per key afterwards stays in its piece
+    without another shuffle. There are at least as many pieces as cores.
+    """
+    size = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // (piece_bytes or PIECE_BYTES))), key)
+
+
 def read_csv(
     spark: SparkSession, path: str, schema, sep: str = ",", quoting: bool = True,
     multiline: bool = True, keep_empty: bool = False, glob: str | None = None,

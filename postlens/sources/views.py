@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from postlens.sources.readers import spread, table
+from postlens.sources.readers import in_pieces, spread, table
 
 # What is added to each text by id % 12, so that every text operator
 # has emojis, links, quotes, contractions and line breaks to work on.
@@ -33,18 +33,19 @@ def decoration(row_id: Column) -> Column:
     return out
 
 
-def titles(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, title, body): the first line of a document is its title."""
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+def titles(spark: SparkSession, folder: str, pieces: bool = False) -> DataFrame:
+    """(id, title, body): the first line of a document is its title. ``pieces`` deals them out by id and size."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = in_pieces(docs, "doc_id", "text") if pieces else spread(docs, "doc_id")
     title = F.substring_index("text", "\n", 1)
     body = F.expr("nullif(substr(text, length(substring_index(text, '\n', 1)) + 2), '')")
     return docs.select(F.col("doc_id").alias("id"), title.alias("title"), body.alias("body"))
 
 
-def texts(spark: SparkSession, folder: str) -> DataFrame:
+def texts(spark: SparkSession, folder: str, pieces: bool = False) -> DataFrame:
     """(id, text) with decorations; needs no join."""
     text = F.concat(F.concat_ws(". ", "title", "body"), decoration(F.col("id")))
-    return titles(spark, folder).select("id", text.alias("text"))
+    return titles(spark, folder, pieces).select("id", text.alias("text"))
 
 
 def _with_events(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators import ordering
 from postlens.operators.joins import lookup_join
+from postlens.plans import vector_queries
 from postlens.sources import readers, sinks
 
 ROWS = [("a", 0, 'say "hi",\nthen\tgo'), ("b", 1, " spaced "), ("c", 2, "é🚀")]
@@ -96,3 +97,15 @@ def test_positions_follow_the_order_even_when_a_value_repeats(spark):
     assert [r.position for r in rows] == list(range(5000))
     slices = ordering.equal_slices(df, ["t", "id"], 7).groupBy("slice_no").count().collect()
     assert sorted((r.slice_no, r["count"]) for r in slices) == [(i, 5000 // 7) for i in range(7)]
+
+
+def test_more_text_makes_more_pieces_not_larger_ones(spark, tmp_path, monkeypatch):
+    """Term counts of a text stay in its piece, whatever the number of shuffle partitions."""
+    monkeypatch.setattr(readers, "PIECE_BYTES", 2000)
+    rows = [(i if i % 50 else None, f"Title {i}\n" + f"alpha beta{i % 7} gamma " * 5) for i in range(400)] * 2
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = vector_queries.term_frequency(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() >= sum(len(t) for _, t in rows) // 2000
+    counts = {(r.id, r.term): r.tf for r in found.collect()}
+    assert counts[1, "alpha"] == 10 and counts[8, "beta1"] == 10
+    assert len(counts) == found.count()
