@@ -40,17 +40,19 @@ def hash_embed(weights: DataFrame, ids: DataFrame, buckets: int = BUCKETS) -> Da
     sign = F.when(F.substring(digest, 5, 1) >= "8", -1.0).otherwise(1.0)
     bucket = (F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") % buckets).alias("bucket")
     parts = weights.groupBy("id", bucket).agg(F.sum(sign * F.col("weight")).alias("v"))
+    # at most one entry per bucket, so the collected list is bounded; the length of the vector is a sum
+    # beside it, as an expression over the whole vector would be computed again for each of its numbers
     entries = parts.groupBy("id").agg(
-        F.map_from_entries(F.collect_list(F.struct("bucket", "v"))).alias("m")
+        F.map_from_entries(F.collect_list(F.struct("bucket", "v"))).alias("m"),
+        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"),
     )
-    # at most one entry per bucket, so the collected list is bounded
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))
-    )
-    rows = ids.select("id").join(entries, "id", "left").select("id", dense.alias("raw"))
-    rows = rows.withColumn("norm", F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x * x)))
-    scaled = F.when(F.col("norm") > 0, F.transform("raw", lambda x: x / F.col("norm"))).otherwise(F.col("raw"))
-    return rows.select("id", F.transform(scaled, lambda x: F.coalesce(x, F.lit(0.0))).alias("z"))
+
+    def scaled(i):
+        value = F.element_at("m", i)
+        return F.coalesce(F.when(F.col("norm") > 0, value / F.col("norm")).otherwise(value), F.lit(0.0))
+
+    rows = ids.select("id").join(entries, "id", "left")
+    return rows.select("id", F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), scaled).alias("z"))
 
 
 def embed_with(df: DataFrame, text: str, encoder, batch_size: int = 32) -> DataFrame:

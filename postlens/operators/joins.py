@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_SALTS = 64
+#: Bytes of a counted table in one task of a wide join up to which it is hashed, not sorted.
+MAX_HASHED = 32 << 20
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -41,7 +43,8 @@ def lookup_join(
     The table is broadcast when its size is below the limit. Its size is ``rows`` times the
     width of a row of numbers if the caller has counted it, else the optimiser's estimate. Beyond it each key is
     spread over ``salts`` tasks and the table is repeated once per salt, so one key with
-    a large share of the rows does not end in one task.
+    a large share of the rows does not end in one task. If the caller has counted the table and its share of
+    a task is small, the share is hashed there, which spares sorting the many rows of ``big``.
     """
     limit = broadcast_limit(big) if limit is None else limit
     size = plan_bytes(lookup) if rows is None else rows * row_bytes(lookup)
@@ -52,6 +55,9 @@ def lookup_join(
         salts = max(2, min(MAX_SALTS, cores // 2))
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(big)), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    tasks = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if rows is not None and size * salts <= MAX_HASHED * tasks:
+        repeated = repeated.hint("shuffle_hash")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

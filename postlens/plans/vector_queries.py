@@ -47,9 +47,8 @@ weights AS (SELECT id, term, tf, tf * ln(((SELECT count(*) FROM texts) + 1) / (d
 
 
 def _frequency(texts):
-    array = F.filter(tk.tokens(F.col("text")), lambda t: t.rlike("[0-9A-Za-z]"))
-    rows = tok.rows_of(texts, F.transform(array, lambda t: F.lower(t)), ["id"], "pos", "term")
-    return features.term_frequency(rows, "term")
+    rows = tok.token_rows(texts).where(F.col("token").rlike(f"[{tx.ALNUM}]"))
+    return features.term_frequency(rows.select("id", F.lower("token").alias("term")), "term")
 
 
 def _weights(texts):

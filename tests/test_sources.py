@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from postlens.operators import ordering
+from postlens.operators import features, ordering
 from postlens.operators.joins import lookup_join
 from postlens.plans import vector_queries
 from postlens.sources import readers, sinks
@@ -109,3 +109,26 @@ def test_more_text_makes_more_pieces_not_larger_ones(spark, tmp_path, monkeypatc
     counts = {(r.id, r.term): r.tf for r in found.collect()}
     assert counts[1, "alpha"] == 10 and counts[8, "beta1"] == 10
     assert len(counts) == found.count()
+
+
+def test_small_share_of_a_counted_table_is_hashed_not_sorted(spark):
+    """Term weights join millions of counts with a vocabulary beyond the broadcast limit."""
+    big = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 50).alias("k"))
+    lookup = spark.range(0, 50, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    wide = lookup_join(big, lookup, ["k"], "left", limit=1 << 40)
+    hashed = lookup_join(big, lookup, ["k"], "left", limit=-1, salts=5, rows=25)
+    assert "ShuffledHashJoin" in hashed._jdf.queryExecution().toString()
+    assert wide.exceptAll(hashed).isEmpty() and hashed.exceptAll(wide).isEmpty()
+    many = lookup_join(big, lookup, ["k"], "left", limit=-1, salts=5, rows=1 << 40)
+    assert "ShuffledHashJoin" not in many._jdf.queryExecution().toString()
+
+
+def test_hashed_vectors_have_length_one_and_no_terms_give_zeros(spark):
+    weights = spark.createDataFrame([(1, f"t{i}", float(i)) for i in range(9)] + [(2, "a", 0.0), (None, "b", 1.0)],
+                                    "id long, term string, weight double")
+    ids = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "id long")
+    found = features.hash_embed(weights, ids)
+    assert found._jdf.queryExecution().toString().count("aggregate(") == 0  # not once for each number
+    rows = sorted(((r.id or 0), r.z) for r in found.collect())
+    assert [i for i, _ in rows] == [0, 1, 1, 2, 3] and all(len(z) == 64 for _, z in rows)
+    assert [round(sum(x * x for x in z), 9) for _, z in rows] == [0, 1, 1, 0, 0]
