@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, functions as F
 
 # The character ranges that count as emojis, and the one multi-character
@@ -35,6 +37,8 @@ def range_class(ranges) -> str:
 
 
 EMOJI_CLASS = range_class(EMOJI_RANGES)
+#: The smallest range with all of them; an emoji starts with one.
+ANY_EMOJI = range_class([(EMOJI_RANGES[0][0], EMOJI_RANGES[-1][1])])
 EMOJI_RE = "".join(escaped(c) for c in WOMAN_EMOJI) + f"|[{EMOJI_CLASS}]"
 SKIN_TONE_RE = f"[{range_class([SKIN_TONES])}]"
 # an emoji with everything that modifies it or is joined to it
@@ -43,13 +47,23 @@ EMOJI_SEQUENCE_RE = (
     f"|{escaped(0x200D)}[{EMOJI_CLASS}{''.join(escaped(c) for c in (0x2640, 0x2641, 0x26A5))}])*"
 )
 
+# Characters named one by one become one table in the regex engine, ranges one call each.
+ALNUM = string.digits + string.ascii_letters
+
+
+def starting(first: str, pattern: str) -> str:
+    """``pattern``, tried only where the next character is in the class ``first``: most positions
+    of a text are passed with one test instead of one for each alternative."""
+    return f"(?=[{first}])(?:{pattern})"
+
+
 # Replacement patterns of the cleaning recipes.
-LINK_RE = r"http\S+|&*#*x200B\S*|\*"
-BREAK_RE = r"[\n\r]|- |[.]{2,}"
-KEPT_RE = r"[0-9A-Za-z$&%.,?!'‘’\"“”]+"
+LINK_RE = starting("h&#x*", r"http\S+|&*#*x200B\S*|\*")
+BREAK_RE = starting(r"\n\r.\-", r"[\n\r]|- |[.]{2,}")
+KEPT_RE = "[" + ALNUM + r"$&%.,?!'\"‘-’“-”]+"
 TOKEN_KEEP_RE = "[^0-9A-Za-z$&%=]"
 TOKEN_KEEP_EMOJI_RE = "[^0-9A-Za-z$&%=" + "".join(escaped(c) for c in JOINERS) + EMOJI_CLASS + "]"
-CURLY, STRAIGHT = "“”‘’", "\"\"''"
+QUOTES = [("[“-”]", '"'), ("[‘-’]", "'")]
 
 
 def post_text(title="title", body="body", sep: str = ". ") -> Column:
@@ -58,15 +72,15 @@ def post_text(title="title", body="body", sep: str = ". ") -> Column:
 
 
 def strip_emojis(text) -> Column:
-    return F.regexp_replace(text, EMOJI_RE, " ")
+    return F.regexp_replace(text, starting(ANY_EMOJI, EMOJI_RE), " ")
 
 
 def extract_emojis(text) -> Column:
-    return F.regexp_extract_all(text, F.lit(EMOJI_RE), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(starting(ANY_EMOJI, EMOJI_RE)), F.lit(0))
 
 
 def straighten_quotes(text) -> Column:
-    return F.translate(text, CURLY, STRAIGHT)
+    return replace_literals(text, QUOTES)
 
 
 def strip_links(text) -> Column:

@@ -13,7 +13,7 @@ from postlens.functions import text as tx
 
 # Contraction endings and the token shapes.
 CONTRACTIONS = ["n't", "'m", "'s", "'d", "'ve", "'re"]
-TOKEN_RE = r"n't|'[a-z]+|[0-9A-Za-z$&%=]+|[^\sA-Za-z0-9]"
+TOKEN_RE = "n't|'[a-z]+|[" + tx.ALNUM + r"$&%=]+|[^\s" + tx.ALNUM + "]"
 SENTENCE_RE = "[^.!?]+[.!?]*"
 EXCEPTION_RULES = [
     (r"(\S+) (sell|hold)([^0-9A-Za-z_]|$)", "$1_$2$3"),

@@ -148,3 +148,21 @@ def test_both_chunk_forms_agree_with_a_loop(spark):
     assert {tuple(r) for r in chunks.from_arrays(arrays, "id", "s").collect()} == want
     rows = tok.rows_of(arrays, "s", ["id"], "sent_num", "sentence")
     assert {tuple(r) for r in chunks.from_rows(rows).collect()} == want
+
+
+def test_patterns_that_look_at_one_character_first_find_the_same(spark):
+    texts = ["http://x.y * &&##x200B; h #x x200Bq hhttp:q &x", "a- b -\n- c.. .d...e\r\n-", "“a” ‘b’ 🚀é 👱‍♀️ 💎", "", None,
+             "n't don't '$ab% =x ñandú 'Ab", "‘’‚‛“”„ 🌀🪨"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = df.select(
+        F.regexp_replace("text", r"http\S+|&*#*x200B\S*|\*", " "), F.regexp_replace("text", r"[\n\r]|- |[.]{2,}", ". "),
+        F.translate("text", "“”‘’", "\"\"''"), F.regexp_replace("text", tx.EMOJI_RE, " "),
+        F.regexp_extract_all("text", F.lit(tx.EMOJI_RE), F.lit(0)),
+        F.array_join(F.regexp_extract_all("text", F.lit(r"[0-9A-Za-z$&%.,?!'‘’\"“”]+"), F.lit(0)), " "),
+        F.regexp_extract_all("text", F.lit(r"n't|'[a-z]+|[0-9A-Za-z$&%=]+|[^\sA-Za-z0-9]"), F.lit(0)))
+    found = df.select(
+        tx.strip_links("text"), tx.break_to_stop("text"), tx.straighten_quotes("text"), tx.strip_emojis("text"),
+        tx.extract_emojis("text"), tx.keep_list("text"), F.regexp_extract_all("text", F.lit(tk.TOKEN_RE), F.lit(0)))
+    assert found.collect() == plain.collect()
+    for pattern in (tx.LINK_RE, tx.BREAK_RE):
+        assert pattern.startswith("(?=[")
