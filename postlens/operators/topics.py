@@ -4,6 +4,9 @@ Online variational Bayes: each iteration reads a twentieth of the documents. The
 is ``start * lambda0(term) + level + seen``, where lambda0 is a hash of the term and ``seen`` a row of a
 table for the terms of documents read so far. So neither the driver nor a task holds the vocabulary;
 the driver has one number per topic.
+
+Documents are dealt into pieces of bounded size. The distinct terms of a piece fetch their weights, so no row is made of a
+term for each document that has it, and a task solves the documents of its piece side by side in numpy.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from postlens.operators.blocks import cores_of
 from postlens.operators.tokens import fenced
 from postlens.session import cut, written
 
@@ -22,12 +26,17 @@ OFFSET, DECAY = 1024.0, 0.51
 #: Shape of the gamma distribution that a model starts from.
 SHAPE = 100.0
 MOST_ROUNDS = 200
+#: Terms, with repeats, of the documents of one piece, and different terms of documents that are solved side by side.
+PIECE_TERMS = 200_000
+SIDE_BY_SIDE = 32_000
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
     x, out = np.array(x, "float64"), 0.0
     for _ in range(8):
         small = x < 8
+        if not small.any():
+            break
         out = out - np.where(small, 1 / x, 0.0)
         x = np.where(small, x + 1, x)
     f = 1 / (x * x)
@@ -38,6 +47,8 @@ def trigamma(x: np.ndarray) -> np.ndarray:
     x, out = np.array(x, "float64"), 0.0
     for _ in range(8):
         small = x < 8
+        if not small.any():
+            break
         out = out + np.where(small, 1 / (x * x), 0.0)
         x = np.where(small, x + 1, x)
     f = 1 / (x * x)
@@ -48,6 +59,8 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     x, out = np.array(x, "float64"), 0.0
     for _ in range(8):
         small = x < 8
+        if not small.any():
+            break
         out = out - np.where(small, np.log(x), 0.0)
         x = np.where(small, x + 1, x)
     f = 1 / (x * x)
@@ -67,6 +80,18 @@ def vocabulary(rows: DataFrame, terms: str) -> DataFrame:
     return written(each.groupBy("term").agg(F.ln((n + 1.0) / (F.count("*") + 1.0)).alias("idf")))
 
 
+def in_pieces(rows: DataFrame, terms: str, share: float = 1.0) -> tuple[DataFrame, int]:
+    """(rows with ``piece``, number of pieces) for a ``share`` of the rows."""
+    n = rows.agg(F.coalesce(F.sum(F.size(terms)), F.lit(0))).first()[0]
+    pieces = max(2 * cores_of(rows.sparkSession), int(np.ceil(share * n / PIECE_TERMS)))
+    return rows.withColumn("piece", F.pmod(F.xxhash64("doc"), F.lit(pieces)).cast("int")), pieces
+
+
+def terms_of_pieces(rows: DataFrame, terms: str, keys: list[str]) -> DataFrame:
+    """(keys, term): the different terms of each piece."""
+    return rows.select(*keys, F.explode(terms).alias("term")).distinct()
+
+
 @dataclass
 class Topics:
     """A fitted model: ``words`` (term, idf), ``seen`` (term, s0, s1, ...), and numbers per topic."""
@@ -94,26 +119,29 @@ class Topics:
         normal = F.sqrt(-2.0 * F.ln(share(0))) * F.cos(2 * np.pi * share(1))
         return F.pow(1 - 1 / (9 * SHAPE) + normal / (3 * np.sqrt(SHAPE)), F.lit(3.0))
 
-    def weights(self) -> DataFrame:
-        """(term, idf, l0, l1, ...): the weight of every term in every topic."""
-        rows = self.words if self.seen is None else self.words.join(self.seen, "term", "left")
+    def weights(self, words: DataFrame | None = None) -> DataFrame:
+        """(term, idf, l0, l1, ...): the weight in every topic of every term, or of those of ``words``, whose columns stay."""
+        words = self.words if words is None else words
+        rows = words if self.seen is None else words.join(self.seen, "term", "left")
         seen = [F.lit(0.0) if self.seen is None else F.coalesce(c, F.lit(0.0)) for c in self.columns()]
-        return rows.select("term", "idf", *[
+        return rows.select(*words.columns, *[
             (self.start * self._drawn(t) + self.level + seen[t]).alias(f"l{t}") for t in range(self.k)])
 
-    def documents(self, rows: DataFrame) -> DataFrame:
-        """(id, entries): the terms of each document, their tf * idf and their weights in the topics."""
-        counted = rows.select("doc", "id", F.explode(self.terms).alias("term")).groupBy("doc", "id", "term").agg(F.count("*").alias("tf"))
-        names = [f"l{t}" for t in range(self.k)]
-        met = counted.join(self.weights(), "term").select("doc", "id", "term", (F.col("tf") * F.col("idf")).alias("w"), *names)
-        return met.groupBy("doc", "id").agg(F.array_sort(F.collect_list(F.struct("term", "w", F.array(*names).alias("l")))).alias("e")).select(
-            "id", F.transform("e", lambda x: x["term"]).alias("terms"), F.transform("e", lambda x: x["w"]).alias("w"),
-            F.flatten(F.transform("e", lambda x: x["l"])).alias("l"))
+    def solved(self, docs: DataFrame, pieces: int, known: DataFrame, want: str) -> DataFrame:
+        """What ``_inference`` returns for (piece, doc, id, terms) and the weights of each piece's terms."""
+        run, schema = _inference(self.k, self.alpha, self.totals, self.terms, want)
+        docs = docs.select("piece", "doc", "id", self.terms).repartition(pieces, "piece")
+        known = known.select(F.col("piece").alias("piece"), "term", "idf", *[f"l{t}" for t in range(self.k)]).repartition(pieces, "piece")
+        return docs.groupBy("piece").cogroup(known.groupBy("piece")).applyInArrow(run, schema)
+
+    def documents(self, rows: DataFrame, want: str) -> DataFrame:
+        docs, pieces = in_pieces(rows, self.terms)
+        known = terms_of_pieces(docs.repartition(pieces, "piece"), self.terms, ["piece"]).join(self.weights(), "term")
+        return self.solved(docs, pieces, known, want)
 
     def transform(self, rows: DataFrame) -> DataFrame:
         """(id, share): how much of each document is in each topic."""
-        run = _inference(self.k, self.alpha, self.totals, "share")
-        return self.documents(rows).mapInArrow(run, "id long, share array<double>")
+        return self.documents(rows, "share")
 
     def describe(self, n: int) -> DataFrame:
         """(topic, topic_words, weights) of the ``n`` heaviest terms, weights as shares of the topic."""
@@ -130,9 +158,7 @@ class Topics:
     def log_perplexity(self, rows: DataFrame) -> float:
         """Variational bound of the held-out rows, negative and per unit of tf * idf."""
         k, eta, totals = self.k, 1.0 / self.k, self.totals
-        run = _inference(k, self.alpha, totals, "bound")
-        bound, mass = self.documents(rows).mapInArrow(run, "id long, bound double, mass double").agg(
-            F.sum("bound"), F.sum("mass")).first()
+        bound, mass = self.documents(rows, "bound").agg(F.sum("bound"), F.sum("mass")).first()
 
         def topic_part(batches):
             import pyarrow as pa
@@ -149,53 +175,98 @@ class Topics:
         return -((bound or 0.0) + topics) / mass if mass else float("nan")
 
 
-def _inference(k: int, alpha, totals, want: str):
-    """Topic shares of a document by turns of its topics and of its terms' topics.
+def _inference(k: int, alpha, totals, terms: str, want: str):
+    """(function, schema): topic shares of the documents of a piece by turns of their topics and of their terms' topics.
 
-    ``want``: its ``share`` per topic, its part of the ``bound``, or the ``stats`` that a model is updated by.
+    ``want``: the ``share`` per topic of a document, its part of the ``bound``, or the ``stats`` that a model is updated
+    by: sums of each term, and the number of documents and the sums of their log shares in a row without a term.
     """
     below = digamma(totals)
 
-    def solved(w, weights):
-        beta = np.exp(digamma(weights) - below)
-        gamma = np.ones(k)
-        theta = np.exp(digamma(gamma) - digamma(gamma.sum()))
-        norm = beta @ theta + 1e-100
+    def solved(w, beta, ends):
+        """(gamma, theta, norm) of documents whose different terms are ``w[ends[i]:ends[i + 1]]``; topics are rows.
+
+        Each document stops by itself; those that have are left out once they are half of the terms.
+        """
+        n = len(ends) - 1
+        gamma = np.ones((k, n))
+        theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=0)))
+        open_, entries, starts, size = np.arange(n), np.arange(len(w)), ends[:-1], np.diff(ends)
+        b, v = beta, w
+        norm = _norm(b, theta, size)
+        moving = np.ones(n, bool)
         for _ in range(MOST_ROUNDS):
-            last = gamma
-            gamma = theta * ((w / norm) @ beta) + alpha
-            theta = np.exp(digamma(gamma) - digamma(gamma.sum()))
-            norm = beta @ theta + 1e-100
-            if np.abs(gamma - last).mean() <= 1e-3:
+            share = v / norm
+            last, at = gamma[:, open_], theta[:, open_]
+            new = np.stack([t * np.add.reduceat(share * row, starts) for t, row in zip(at, b)]) + alpha[:, None]
+            new = np.where(moving, new, last)
+            at = np.where(moving, np.exp(digamma(new) - digamma(new.sum(axis=0))), at)
+            gamma[:, open_], theta[:, open_] = new, at
+            moving &= np.abs(new - last).mean(axis=0) > 1e-3
+            if not moving.any():
                 break
-        return beta, gamma, theta, norm
-
-    def run(batches):
+            if 2 * size[moving].sum() < len(entries):
+                entries = entries[np.repeat(moving, size)]
+                open_, size = open_[moving], size[moving]
+                starts, moving = np.cumsum(size) - size, np.ones(len(size), bool)
+                b, v, at = beta[:, entries], w[entries], theta[:, open_]
+            norm = _norm(b, at, size)
+        return gamma, theta, _norm(beta, theta, np.diff(ends))
+
+    def run(docs, known):
         import pyarrow as pa
-
-        for batch in batches:
-            rows = []
-            for w, weights in zip(batch.column("w"), batch.column("l")):
-                w = w.values.to_numpy(zero_copy_only=False)
-                beta, gamma, theta, norm = solved(w, weights.values.to_numpy(zero_copy_only=False).reshape(-1, k))
-                expected = digamma(gamma) - digamma(gamma.sum())
-                if want == "share":
-                    rows.append((gamma / gamma.sum()).tolist())
-                elif want == "bound":
-                    part = (w * np.log(norm)).sum() + ((alpha - gamma) * expected + lgamma(gamma) - lgamma(alpha)).sum()
-                    rows.append((float(part + lgamma(alpha.sum()) - lgamma(gamma.sum())), float(w.sum())))
-                else:
-                    rows.append((((w / norm)[:, None] * beta * theta).ravel().tolist(), expected.tolist()))
-            if want == "share":
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.list_(pa.float64()))], names=["id", "share"])
-            elif want == "bound":
-                parts = [pa.array([r[c] for r in rows], pa.float64()) for c in (0, 1)]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *parts], names=["id", "bound", "mass"])
-            else:
-                parts = [pa.array([r[c] for r in rows], pa.list_(pa.float64())) for c in (0, 1)]
-                yield pa.RecordBatch.from_arrays([batch.column("terms"), *parts], names=["terms", "s", "expected"])
-
-    return run
+        import pyarrow.compute as pc
+
+        known = known.sort_by("term")
+        docs = docs.take(pc.sort_indices(docs.column("doc")))
+        lists = docs.column(terms).combine_chunks()
+        place = pc.index_in(lists.flatten(), value_set=known.column("term").combine_chunks())
+        row = np.repeat(np.arange(len(docs)), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype("int64"))
+        found = place.is_valid().to_numpy(zero_copy_only=False)
+        width = max(1, len(known))
+        pairs, tf = np.unique(row[found] * width + place.drop_null().to_numpy(), return_counts=True)
+        doc, term = pairs // width, pairs % width
+        w = tf * known.column("idf").to_numpy()[term]
+        weights = np.stack([known.column(f"l{t}").to_numpy() for t in range(k)])
+        beta = np.exp(digamma(weights) - below[:, None])[:, term]
+        there, ends = np.unique(doc, return_index=True)
+        ends = np.append(ends, len(doc))
+        gamma, theta, norm = np.empty((k, len(there))), np.empty((k, len(there))), np.empty(len(doc))
+        first = 0
+        while first < len(there):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SIDE_BY_SIDE, "right")) - 1)
+            part = slice(ends[first], ends[last])
+            gamma[:, first:last], theta[:, first:last], norm[part] = solved(
+                w[part], np.ascontiguousarray(beta[:, part]), ends[first:last + 1] - ends[first])
+            first = last
+        total = gamma.sum(axis=0)
+        ids = docs.column("id").combine_chunks().take(pa.array(there))
+        if want == "share":
+            cells = pa.ListArray.from_arrays(pa.array(np.arange(0, gamma.size + 1, k, dtype="int32")), pa.array((gamma / total).T.ravel()))
+            return pa.table({"id": ids, "share": cells})
+        expected = digamma(gamma) - digamma(total)
+        if want == "bound":
+            bound, mass = (np.add.reduceat(x, ends[:-1]) if len(there) else np.zeros(0) for x in (w * np.log(norm), w))
+            bound = bound + ((alpha[:, None] - gamma) * expected + lgamma(gamma) - lgamma(alpha)[:, None]).sum(axis=0)
+            return pa.table({"id": ids, "bound": bound + lgamma(alpha.sum()) - lgamma(total), "mass": mass})
+        size = np.diff(ends)
+        sums = [np.bincount(term, w / norm * beta[t] * np.repeat(theta[t], size), width)[:len(known)] for t in range(k)]
+        names = known.column("term").combine_chunks()
+        return pa.table({"term": pa.concat_arrays([names, pa.nulls(1, names.type)])} | {
+            f"n{t}": np.append(sums[t], expected[t].sum()) for t in range(k)} | {
+            "docs": np.append(np.zeros(len(known), "int64"), len(there))})
+
+    schemas = {"share": "id long, share array<double>", "bound": "id long, bound double, mass double",
+               "stats": "term string, " + ", ".join(f"n{t} double" for t in range(k)) + ", docs long"}
+    return run, schemas[want]
+
+
+def _norm(beta, theta, size):
+    """Sum over the topics of the weights of each term times the share of its document."""
+    out = np.full(beta.shape[1], 1e-100)
+    for row, share in zip(beta, theta):
+        out += row * np.repeat(share, size)
+    return out
 
 
 def fit(rows: DataFrame, terms: str, words: DataFrame, k: int, iterations: int, seed: int) -> Topics:
@@ -206,28 +277,28 @@ def fit(rows: DataFrame, terms: str, words: DataFrame, k: int, iterations: int,
     model.n_words, model.first = facts[0], np.array(facts[1:], "float64")
     model.totals = model.first.copy()
     eta = 1.0 / k
+    # the documents of all iterations and their terms are fetched once
+    drawn = [F.pmod(F.xxhash64("id", F.lit(seed), F.lit(step)), F.lit(1 << 30)) < int(BATCH * (1 << 30)) for step in range(1, iterations + 1)]
+    steps = F.explode(F.filter(F.array(*[F.when(d, step + 1) for step, d in enumerate(drawn)]), lambda s: s.isNotNull()))
+    docs, pieces = in_pieces(rows, terms, BATCH)
+    docs = written(docs.select(steps.alias("step"), "piece", "doc", "id", terms), "step")
+    asked = written(terms_of_pieces(docs, terms, ["step", "piece"]).join(words, "term"), "step")
+    met = np.zeros(k)
     for step in range(1, iterations + 1):
-        drawn = F.pmod(F.xxhash64("id", F.lit(seed), F.lit(step)), F.lit(1 << 30)) < int(BATCH * (1 << 30))
-        run = _inference(k, model.alpha, model.totals, "stats")
-        solved = cut(model.documents(rows.where(drawn)).mapInArrow(run, "terms array<string>, s array<double>, expected array<double>"))
-        facts = solved.agg(F.count("*"), *[F.sum(F.get("expected", F.lit(t))) for t in range(k)]).first()
+        known = model.weights(asked.where(F.col("step") == step).drop("step"))
+        new = cut(model.solved(docs.where(F.col("step") == step), pieces, known, "stats"))
+        facts, sums = ([r or 0.0 for r in new.where(there).agg(F.sum("docs"), *[F.sum(f"n{t}") for t in range(k)]).first()]
+                       for there in ("term IS NULL", "term IS NOT NULL"))
         if not facts[0]:
             continue
         rate = (OFFSET + step) ** -DECAY
-        place = F.posexplode("terms").alias("at", "term")
-        each = solved.select("s", place).select(
-            "term", *[F.get("s", F.col("at") * k + t).alias(f"n{t}") for t in range(k)])
-        new = each.groupBy("term").agg(*[F.sum(f"n{t}").alias(f"n{t}") for t in range(k)])
-        if model.seen is None:
-            grown = new.select("term", *[(rate / BATCH * F.col(f"n{t}")).alias(f"s{t}") for t in range(k)])
-        else:
-            grown = model.seen.join(new, "term", "full").select("term", *[
-                ((1 - rate) * F.coalesce(f"s{t}", F.lit(0.0)) + rate / BATCH * F.coalesce(f"n{t}", F.lit(0.0))).alias(f"s{t}")
-                for t in range(k)])
-        model.seen = written(grown)
+        grown = new.where("term IS NOT NULL").select("term", *[(rate / BATCH * F.col(f"n{t}")).alias(f"s{t}") for t in range(k)])
+        if model.seen is not None:
+            grown = grown.unionByName(model.seen.select("term", *[((1 - rate) * F.col(c)).alias(c) for c in model.columns()]))
+        model.seen = written(grown.groupBy("term").agg(*[F.sum(c).alias(c) for c in model.columns()]))
         model.start, model.level = model.start * (1 - rate), model.level * (1 - rate) + rate * eta
-        added = model.seen.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in model.columns()]).first()
-        model.totals = model.start * model.first + model.level * model.n_words + np.array(added, "float64")
+        met = (1 - rate) * met + rate / BATCH * np.array(sums[1:], "float64")
+        model.totals = model.start * model.first + model.level * model.n_words + met
         model.alpha = _moved_alpha(model.alpha, facts[0], np.array(facts[1:], "float64") / facts[0], rate)
     return model
 

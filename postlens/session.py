@@ -46,9 +46,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder. A checkpoint keeps the size that the optimiser guessed, and
-    guesses multiply along an iteration that joins its own results; a table has its true size."""
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` as a table in the shared folder, in folders ``by`` value of some columns. A checkpoint keeps the size
+    that the optimiser guessed, and guesses multiply along an iteration that joins its own results; a table has its true size."""
     folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
