@@ -65,3 +65,11 @@ def test_bounds_hold_in_either_format(size, shift):
         assert low.dtype == ("float64" if size > 1e20 else "float32")
         assert (low <= blocks.at_least(part.ravel(), low).reshape(part.shape)).all()
         assert (part <= low + 2 * sa[:, None] + 2 * sb[None, :] + 1e-300).all()
+
+
+def test_spare_neighbours_do_not_change_the_others(spark):
+    """Also where an id comes several times and its list is shorter."""
+    df = planted(spark, 40)
+    df = df.unionByName(df.where("vec_id % 3 = 0")).unionByName(df.where("vec_id = 5").select(F.lit(70).cast("long").alias("vec_id"), "z"))
+    plain, more = ([tuple(r) for r in neighbours.knn(df, 4, spare=spare).where("rank <= 4").collect()] for spare in (0, 3))
+    assert sorted(plain) == sorted(more) and len(plain) < 4 * df.count()
